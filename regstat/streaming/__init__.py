@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The statistics job is a batch run over complete yearly registers: it has no
+watermark, stream window, state or late data. This package is intentionally
+empty; the batch operators work unchanged on a micro-batch DataFrame if a
+caller ever feeds one through ``foreachBatch``.
+"""
