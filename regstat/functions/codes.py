@@ -2,55 +2,61 @@
 
 Ranges compare string prefixes under Spark's binary string order, so 'F1' is
 inside F00..F99 while 'F9X', 'f32' and a dotted 'S72.0' are not.
+
+Each predicate is rendered as one SQL expression and handed to ``F.expr``:
+Catalyst gets the same plan as from chained ``Column`` calls, and building a
+query costs one call per group instead of dozens.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from regstat.catalogue import CodeGroup, MainDiagnosis, PrefixRange, PrefixSet, ServiceSpec
 
 
-def _prefix(code: Column, width: int) -> Column:
-    return F.substring(code, 1, width)
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _rule(code: Column, rule: PrefixRange | PrefixSet) -> Column:
-    p = _prefix(code, rule.width)
+def _rule_sql(code: str, rule: PrefixRange | PrefixSet) -> str:
+    p = f"substring({code}, 1, {rule.width})"
     if isinstance(rule, PrefixRange):
-        return p.between(F.lit(rule.lo), F.lit(rule.hi))
-    return p.isin(*rule.values)
+        return f"({p} BETWEEN {_lit(rule.lo)} AND {_lit(rule.hi)})"
+    return f"({p} IN ({', '.join(_lit(v) for v in rule.values)}))"
+
+
+def group_predicate_sql(code: str, group: CodeGroup) -> str:
+    """SQL text: the code (a column name) belongs to the group."""
+    return "(" + " OR ".join(_rule_sql(code, r) for r in group.rules) + ")"
 
 
-def group_predicate(code: Column, group: CodeGroup) -> Column:
+def group_predicate(code: str, group: CodeGroup) -> Column:
     """Boolean: the code belongs to the group (NULL code -> NULL)."""
-    return reduce(lambda a, b: a | b, (_rule(code, r) for r in group.rules))
+    return F.expr(group_predicate_sql(code, group))
 
 
-def group_flag(code: Column, group: CodeGroup) -> Column:
+def group_flag(code: str, group: CodeGroup) -> Column:
     """0/1 integer flag, never NULL (a NULL code gives 0)."""
-    return F.when(group_predicate(code, group), F.lit(1)).otherwise(F.lit(0))
+    return F.expr(f"CASE WHEN {group_predicate_sql(code, group)} THEN 1 ELSE 0 END")
 
 
-def group_flags(code: Column, groups) -> list[Column]:
+def group_flags(code: str, groups) -> list[Column]:
     return [group_flag(code, g).alias(g.name) for g in groups]
 
 
-def cohort_predicate(code: Column, spec: ServiceSpec) -> Column:
+def cohort_predicate(code: str, spec: ServiceSpec) -> Column:
     """The code is relevant to the service: it falls in any of its groups."""
-    return reduce(lambda a, b: a | b, (group_predicate(code, g) for g in spec.groups))
+    return F.expr(" OR ".join(group_predicate_sql(code, g) for g in spec.groups))
 
 
 def main_diagnosis(sel: MainDiagnosis) -> Column:
     """Main-diagnosis selector on a codes table (plain column predicates, so
     parquet receives them as pushed filters)."""
     if sel.kind == "type":
-        return (F.col("code_type") == F.lit(sel.code_type)) & F.col("code_no").isin(
-            *sel.code_nos
-        )
+        nos = ", ".join(str(n) for n in sel.code_nos)
+        return F.expr(f"code_type = {sel.code_type} AND code_no IN ({nos})")
     if sel.kind == "axis":
-        return (F.col("axis") == F.lit(sel.axis)) & (F.col("condition") == F.lit(sel.condition))
+        return F.expr(f"axis = {sel.axis} AND condition = {sel.condition}")
     raise ValueError(f"unknown selector kind {sel.kind!r}")

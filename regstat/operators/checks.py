@@ -32,7 +32,7 @@ class CareLevelError(RuntimeError):
 def _precheck_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int, end: int):
     """Relevant main-diagnosis code rows joined to stays on (key, year), with
     the id filter but *no* care-level filter and no person join (S15)."""
-    c = main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate(F.col("code"), spec))
+    c = main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate("code", spec))
     s = stays.filter(valid_person_id("person_id")).select(
         "stay_key", "year", "person_id", "care_level"
     )

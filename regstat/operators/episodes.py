@@ -78,9 +78,8 @@ def main_diagnosis_rows(codes: DataFrame, spec: ServiceSpec, start: int, end: in
 
 def marked_codes(codes: DataFrame, spec: ServiceSpec, start: int, end: int) -> DataFrame:
     """Relevant main-diagnosis code rows with one 0/1 flag per group."""
-    code = F.col("code")
-    return main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate(code, spec)).select(
-        "stay_key", "year", *group_flags(code, spec.groups)
+    return main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate("code", spec)).select(
+        "stay_key", "year", *group_flags("code", spec.groups)
     )
 
 

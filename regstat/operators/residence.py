@@ -105,8 +105,8 @@ def residence_wide(
     dates. Persons with no residence keep an all-NULL row (left join)."""
     snap = snapshots(cohort_ids, residence, start, end)
     yrs = cat.years(start, end)
-    aggs = [F.max(F.when(F.col("year") == y, F.col("jan1"))).alias(f"jan1_{y}") for y in yrs]
-    aggs += [F.max(F.when(F.col("year") == y, F.col("dec31"))).alias(f"dec31_{y}") for y in yrs]
+    aggs = [F.expr(f"max(CASE WHEN year = {y} THEN jan1 END)").alias(f"jan1_{y}") for y in yrs]
+    aggs += [F.expr(f"max(CASE WHEN year = {y} THEN dec31 END)").alias(f"dec31_{y}") for y in yrs]
     wide = snap.groupBy("person_id").agg(*aggs)
     return cohort_ids.join(wide, "person_id", "left")
 

@@ -36,9 +36,8 @@ def code_group_flags(spark, sf_dir):
 
     def one(s):
         c = episodes.main_diagnosis_rows(src.codes[s.name], s, cat.START_YEAR, cat.END_YEAR)
-        code = F.col("code")
-        return c.filter(cohort_predicate(code, s)).select(
-            F.lit(s.name).alias("service"), "stay_key", "year", "code", *group_flags(code, s.groups)
+        return c.filter(cohort_predicate("code", s)).select(
+            F.lit(s.name).alias("service"), "stay_key", "year", "code", *group_flags("code", s.groups)
         )
 
     return _per_service(src, one).select("service", "stay_key", "year", "code", *cat.ALL_GROUP_NAMES)

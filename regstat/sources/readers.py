@@ -53,9 +53,10 @@ def read_table(spark: SparkSession, ref: str, fmt: str | None = None, **options)
 
 
 def _by_service(df: DataFrame, schema, ids=()) -> dict[str, DataFrame]:
-    return {
-        s.name: normalise(df.filter(F.col("service") == s.name), schema, ids) for s in cat.SERVICES
-    }
+    """Normalise once, then one filter per service (a partition filter on the
+    staged layout, so each service reads only its own directories)."""
+    n = normalise(df, schema, ids, keep=["service"])
+    return {s.name: n.filter(F.col("service") == s.name).drop("service") for s in cat.SERVICES}
 
 
 def read_sources(spark: SparkSession, root: str) -> Sources:
@@ -87,15 +88,25 @@ def fixture_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+_FIXTURE_CACHE: dict[tuple[int, str], Sources] = {}
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """Lazy source plans over the driver tables. Plans (not data) are kept per
+    session and folder, so the registered queries share one construction."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _FIXTURE_CACHE.get(key)
+    if hit is not None and spark.sparkContext._jsc is not None:
+        return hit
     f = fixture_frames(spark, sf_dir)
-    return Sources(
+    _FIXTURE_CACHE[key] = src = Sources(
         codes=_by_service(f["codes"], CODES),
         stays=_by_service(f["stays"], STAYS, ["person_id"]),
         persons=normalise(f["persons"], PERSONS),
         residence=normalise(f["residence"], RESIDENCE),
         places=f["places"],
     )
+    return src
 
 
 __all__ = ["Sources", "fixture_frames", "fixture_sources", "read_sources", "read_table", "PLACES"]

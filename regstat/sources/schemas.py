@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regstat.functions.scalar import string_id
 
 S, I, L, D = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
@@ -99,27 +98,32 @@ def missing_columns(
     return want.join(present, ["table_name", "column_name"], "left_anti")
 
 
-def normalise(df: DataFrame, schema: T.StructType, id_columns: Iterable[str] = ()) -> DataFrame:
+def normalise(
+    df: DataFrame,
+    schema: T.StructType,
+    id_columns: Iterable[str] = (),
+    keep: Iterable[str] = (),
+) -> DataFrame:
     """Rename columns to the schema's case, cast to the schema's types
     (integers by ``try_cast`` so bad text becomes NULL), right-trim string
-    ids, and keep only the schema's columns. One projection, no job."""
+    ids, and keep only the schema's columns (plus ``keep``). One projection,
+    built as SQL expressions in a single call; no job runs."""
     by_lower = {f.name.lower(): f.name for f in df.schema.fields}
     ids = {c.lower() for c in id_columns}
-    out = []
+    out = [f"`{by_lower[k.lower()]}` AS `{k}`" for k in keep if k.lower() in by_lower]
     for field in schema.fields:
         src = by_lower.get(field.name.lower())
+        t = field.dataType.simpleString()
         if src is None:
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        c = F.col(f"`{src}`")
-        if field.name.lower() in ids:
-            c = string_id(c) if isinstance(field.dataType, T.StringType) else c.cast(field.dataType)
+            expr = f"CAST(NULL AS {t})"
+        elif field.name.lower() in ids and isinstance(field.dataType, T.StringType):
+            expr = f"rtrim(CAST(`{src}` AS STRING))"
         elif isinstance(field.dataType, (T.IntegerType, T.LongType)):
-            c = c.try_cast(field.dataType)
+            expr = f"try_cast(`{src}` AS {t})"
         else:
-            c = c.cast(field.dataType)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            expr = f"CAST(`{src}` AS {t})"
+        out.append(f"{expr} AS `{field.name}`")
+    return df.selectExpr(*out)
 
 
 def normalise_names(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -1,0 +1,108 @@
+"""Places (P5), profile tables (P6/E12), invariants and the countDistinct form."""
+
+from __future__ import annotations
+
+from conftest import SF_MID, D, code, make_sources, stay
+
+from regstat import catalogue as cat
+from regstat.operators import episodes, places, residence, tabulate
+from regstat.sources.readers import fixture_sources
+
+PLACE = ("0301", "Oslo", "0301", "Oslo", "03", "Oslo", "03", "Oslo")
+
+
+def test_places_pad_override_and_dedup(spark):
+    raw = spark.createDataFrame(
+        [
+            ("301", "Oslo", "0301", "Oslo", "03", "Oslo", "03", "Oslo"),
+            ("0301", "Oslo gamle", "0301", "Oslo", "03", "Oslo", "03", "Oslo"),
+            ("1534", "Haram", "1507", "Alesund", "15", "M", "15", "M"),
+            (None, "x", "y", "z", "1", "2", "3", "4"),
+        ],
+        ",".join(f"{c} string" for c in cat.PLACE_COLUMNS),
+    )
+    p = {r["kommunenr"]: r.asDict() for r in places.places(raw).collect()}
+    assert p["0301"]["kommunenavn"] == "Oslo"
+    assert (p["1534"]["kommunenrdagens"], p["1534"]["kommunenavndagens"]) == ("1580", "Haram")
+    assert p[None]["kommunenrdagens"] is None
+    dups = places.duplicates(raw).collect()
+    assert [(r["kommunenr"], r["n_rows"]) for r in dups] == [("0301", 2)]
+
+
+def _profile(spark, codes, stays, persons, res, plc=(PLACE,), spec=cat.service("PHV")):
+    src = make_sources(spark, codes=codes, stays=stays, persons=persons, residence=res, places=plc)
+    e = episodes.episodes(src.codes[spec.name], src.stays[spec.name], src.persons, spec)
+    r = residence.residence_by_year(residence.cohort(e), src.residence)
+    return tabulate.profile(e, r, places.places(src.places), spec).collect()
+
+
+def test_distinct_persons_zero_cells_unknown_place_and_age(spark):
+    rows = _profile(
+        spark,
+        codes=[code("PHV", 1, 2014, "F102"), code("PHV", 2, 2014, "F100"),
+               code("PHV", 3, 2014, "F329"), code("PHV", 4, 2014, "F329")],
+        stays=[stay("PHV", 1, 2014, "11", sex="1"), stay("PHV", 2, 2014, "11", sex="1"),
+               stay("PHV", 3, 2014, "12", sex="1"), stay("PHV", 4, 2014, "13", sex="1")],
+        persons=[(11, 1950, "1"), (12, 1950, "1")],
+        res=[(11, D("2010-01-01"), None, "301"), (12, D("2010-01-01"), None, "7777"),
+             (13, D("2010-01-01"), None, "301")],
+    )
+    cells = {(r["Bostedskommune"], r["Alder"]): r.asDict() for r in rows}
+    oslo = cells[("0301", 64)]
+    assert (oslo["F10"], oslo["F00_F99"], oslo["F30_F39"], oslo["F40_F48"]) == (1, 1, 0, 0)
+    assert oslo["Kommunenavn"] == "Oslo"
+    unknown_place = cells[("7777", 64)]
+    assert unknown_place["Kommunenavn"] is None and unknown_place["F30_F39"] == 1
+    assert cells[("0301", None)]["F30_F39"] == 1
+    # sorted by year, municipality, sex, age with unknown age last
+    keys = [(r["Bostedskommune"], r["Alder"]) for r in rows]
+    assert keys == [("0301", 64), ("0301", None), ("7777", 64)]
+    assert list(rows[0].asDict())[:11] == [h for _, h in cat.PROFILE_KEY_HEADERS]
+
+
+def test_person_without_residence_drops(spark):
+    rows = _profile(
+        spark,
+        codes=[code("PHV", 1, 2014, "F329")],
+        stays=[stay("PHV", 1, 2014, "11")],
+        persons=[(11, 1950, "1")],
+        res=[(11, D("2016-01-01"), None, "0301")],
+    )
+    assert rows == []
+
+
+def _fixture_joined(spark):
+    src = fixture_sources(spark, SF_MID)
+    e = episodes.extract_all(src)
+    r = residence.residence_by_year(residence.cohort(e), src.residence)
+    return e, tabulate.episodes_with_residence(e, r)
+
+
+def test_two_level_equals_count_distinct(spark):
+    _, joined = _fixture_joined(spark)
+    for s in (cat.service("SOM"), cat.service("PHV"), cat.service("PHBU")):
+        j = joined.filter(joined.service == s.name)
+        a = tabulate.profile_counts(j, s.group_names)
+        b = tabulate.profile_counts_distinct(j, s.group_names)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_subgroup_counts_not_above_parent(spark):
+    _, joined = _fixture_joined(spark)
+    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",))
+    pairs = [
+        ("F10", "F10_F16_F18_F19"), ("F10_F16_F18_F19", "F00_F99"), ("F11_F16_F18_F19", "F10_F16_F18_F19"),
+        ("I21_I22", "I00_I99"), ("S720_S722", "S720_S729"), ("S720_S729", "S00_T78"),
+        ("S00_S09", "S00_T78"), ("T36_T65", "S00_T78"),
+    ]
+    cond = " OR ".join(f"{a} > {b}" for a, b in pairs)
+    assert counts.filter(cond).count() == 0
+
+
+def test_join_never_adds_rows(spark):
+    e, joined = _fixture_joined(spark)
+    a = {r["service"]: r["count"] for r in e.groupBy("service").count().collect()}
+    b = {r["service"]: r["count"] for r in joined.groupBy("service").count().collect()}
+    assert all(b.get(s, 0) <= a[s] for s in a)
+    assert e.filter("care_level NOT IN (1, 2) OR care_level IS NULL").count() == 0
