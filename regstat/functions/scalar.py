@@ -25,8 +25,10 @@ def valid_person_id(c, max_length: int = cat.MAX_ID_LENGTH) -> Column:
 
 
 def care_level_ok(c, levels=cat.CARE_LEVELS) -> Column:
-    """``care_level IN (1, 2)``; NULL drops."""
-    return F.coalesce(_c(c).isin(*levels), F.lit(False))
+    """``care_level IN (1, 2)``; NULL gives NULL, so a filter drops it and a
+    CASE sends it to the ELSE branch. A plain IN reaches parquet as a pushed
+    filter."""
+    return _c(c).isin(*levels)
 
 
 def sex_label(dim_sex, stay_sex) -> Column:

@@ -111,12 +111,21 @@ def residence_wide(
     return cohort_ids.join(wide, "person_id", "left")
 
 
-def wide_to_long(
-    wide: DataFrame, start: int = cat.START_YEAR, end: int = cat.END_YEAR
-) -> DataFrame:
-    """H6: unpivot the 28 dated columns to (person_id, year, jan1, dec31)
-    with ``stack``, then resolve as in the long form."""
-    yrs = cat.years(start, end)
+def wide_years(wide: DataFrame) -> list[int]:
+    """The years present in a wide table, read off its dated column
+    names (``jan1_YYYY`` / ``dec31_YYYY``)."""
+    found = set()
+    for c in wide.columns:
+        prefix, _, year = c.partition("_")
+        if prefix in ("jan1", "dec31") and year.isdigit():
+            found.add(int(year))
+    return sorted(found)
+
+
+def wide_to_long(wide: DataFrame) -> DataFrame:
+    """H6: unpivot the dated columns to (person_id, year, jan1, dec31) with
+    ``stack``, then resolve as in the long form."""
+    yrs = wide_years(wide)
     args = ", ".join(f"{y}, `jan1_{y}`, `dec31_{y}`" for y in yrs)
     long = wide.selectExpr("person_id", f"stack({len(yrs)}, {args}) AS (year, jan1, dec31)")
     return resolve(long.withColumn("year", F.col("year").cast("int")))

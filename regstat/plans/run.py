@@ -22,6 +22,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
 from regstat.operators import checks, episodes, places, residence, tabulate
@@ -39,6 +40,7 @@ class RunResult:
     control: list[dict] = field(default_factory=list)
     empty_services: list[str] = field(default_factory=list)
     duplicate_places: int = 0
+    residence_rows: int = 0
 
 
 def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
@@ -77,6 +79,8 @@ def run(
         f"{work}/residence_by_year",
     )
 
+    res.residence_rows = res_year.count()  # E15, from the written table
+
     # places (P5) and duplicate warning
     raw_places = sources.places
     res.duplicate_places = checks.warn_duplicate_places(places.duplicates(raw_places))
@@ -88,19 +92,25 @@ def run(
     all_profiles = _materialise(
         spark, tabulate.with_places(counts, place_dim), f"{work}/profiles", ["service"]
     )
-    delivered = {s.label: tabulate.split_profile(all_profiles, s) for s in sources.services}
+    # no global sort: the sink writes one directory per year, sorted within
+    delivered = {s.label: tabulate.split_profile(all_profiles, s, sort=False) for s in sources.services}
 
     # 6. control table (P9), precheck
     svc = checks.service_list(spark, sources.services)
-    control = checks.control_table(extract, joined, all_profiles, svc)
-    control = _materialise(spark, control, f"{work}/control")
-    res.empty_services = checks.warn_empty_services(control)  # A18
+    delivered["control"] = checks.control_table(extract, joined, all_profiles, svc)
     avt = cat.service("AVT")
-    precheck = checks.care_level_precheck(sources.codes[avt.name], sources.stays[avt.name], avt, start, end)
-
-    delivered["control"] = control
-    delivered["care_level_precheck"] = precheck
-    write_delivery(delivered, out_dir, csv=csv)
+    delivered["care_level_precheck"] = checks.care_level_precheck(
+        sources.codes[avt.name], sources.stays[avt.name], avt, start, end
+    )
+    labels = F.array(*[F.lit(s.label) for s in sources.services])
+    profile_order = ["Bostedskommune", "Kjonn", F.col("Alder").asc_nulls_last()]
+    orders = {s.label: profile_order for s in sources.services}
+    orders["control"] = [F.array_position(labels, F.col("service"))]
+    orders["care_level_precheck"] = [F.col("care_level").asc_nulls_last()]
+    write_delivery(delivered, out_dir, csv=csv, orders=orders)
     res.tables = {name: f"{out_dir}/{name}" for name in delivered}
-    res.control = [r.asDict() for r in control.collect()]  # one row per service
+
+    control = spark.read.parquet(f"{out_dir}/control/parquet")
+    res.empty_services = checks.warn_empty_services(control)  # A18
+    res.control = [r.asDict() for r in control.orderBy(orders["control"][0]).collect()]  # 1 row/service
     return res

@@ -24,7 +24,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    "spark.sql.shuffle.partitions": "4000",
+    # upper bound for the first shuffles of a 100 TB run; AQE coalesces
+    # small stages down to the advisory size
+    "spark.sql.shuffle.partitions": "16000",
     "spark.sql.session.timeZone": "UTC",
 }
 

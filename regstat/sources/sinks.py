@@ -47,16 +47,29 @@ def with_run_date(path: str, run_date: str | None) -> str:
     return path if not run_date else f"{path.rstrip('/')}/run_date={run_date}"
 
 
-def write_delivery(tables: dict[str, DataFrame], out: str, csv: bool = True) -> None:
-    """One directory per table: parquet (the profile tables partitioned by
-    year) and optionally CSV with a header row."""
+def write_delivery(
+    tables: dict[str, DataFrame],
+    out: str,
+    csv: bool = True,
+    orders: dict[str, list] | None = None,
+) -> None:
+    """One directory per table. Parquet is written once (profile tables
+    partitioned by year, ``Ar``); the CSV copy with a header row is made from
+    the written parquet, not by recomputing the plan. Profile CSVs stay
+    partitioned by year and sorted within each file, so no single task
+    writes a whole table; the small check tables are one sorted file each."""
     out = out.rstrip("/")
+    orders = orders or {}
     for name, df in tables.items():
         part = ["Ar"] if "Ar" in df.columns else None
-        write_table(df, f"{out}/{name}/parquet", part)
-        if csv:
-            write_table(df.coalesce(1) if part is None else df, f"{out}/{name}/csv", None, "csv")
-
-
-def lit_or_null(v, t: str):
-    return F.lit(v).cast(t)
+        pq = f"{out}/{name}/parquet"
+        write_table(df, pq, part, sort_within=orders.get(name) if part else None)
+        if not csv:
+            continue
+        back = df.sparkSession.read.parquet(pq)
+        order = orders.get(name, [])
+        if part:
+            write_table(back.select(*df.columns), f"{out}/{name}/csv", part, "csv", sort_within=order)
+        else:
+            small = back.orderBy(*order) if order else back
+            write_table(small.coalesce(1), f"{out}/{name}/csv", None, "csv")
