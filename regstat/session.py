@@ -18,6 +18,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's partition even when the operator after the join
+    # (the residence and profile aggregates) would otherwise reuse the join's
+    # partitioning: the split costs one extra shuffle, a hot task costs more
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # small dimensions (places, cohort ids when small) are broadcast by
     # Spark's own size check at plan time and again by AQE at run time
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
