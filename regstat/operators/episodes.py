@@ -7,8 +7,10 @@ Plan (per service), all lazy:
         --groupBy(stay_key, year) max(flags)          partial agg before shuffle
   stays --filter(id, years, care level[, rehab, level])
   join on (stay_key, year)                            sort-merge (AQE may broadcast)
-  left join persons on person_id                      AQE picks broadcast by size
-  groupBy(stay_key) max(flags), min(struct(pick))     one row per episode
+  ---- union of the services (extract_all) ----
+  left join persons on person_id                      once for all services
+  groupBy(service, stay_key) max(flags),
+                             min(struct(pick))        one row per episode
 
 Folding code rows per (stay_key, year) before the join is exact: code rows
 only contribute flags, and candidates for the representative row are stay x
@@ -144,24 +146,35 @@ def _pick_struct():
     return F.struct(*fields)
 
 
-def episodes(
-    codes: DataFrame,
-    stays: DataFrame,
-    persons: DataFrame,
-    spec: ServiceSpec,
-    start: int = cat.START_YEAR,
-    end: int = cat.END_YEAR,
-) -> DataFrame:
-    """One row per episode with OR-ed group flags and one whole
-    representative row (E1)."""
-    flags = spec.group_names
+def stay_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int, end: int, flags) -> DataFrame:
+    """The service-specific part of P1: code rows folded to one row per
+    (stay_key, year) (partial aggregation, whose shuffle is the join's),
+    joined to the valid stays. ``flags`` lists the output flag columns; those
+    the service does not have are NULL."""
+    own = spec.group_names
     per_stay_year = marked_codes(codes, spec, start, end).groupBy("stay_key", "year").agg(
-        *[F.max(g).alias(g) for g in flags]
+        *[F.max(g).alias(g) for g in own]
     )
-    j = per_stay_year.join(_stay_side(stays, spec, start, end), ["stay_key", "year"], "inner").join(
-        _person_lookup(persons), "person_id", "left"
+    j = per_stay_year.join(_stay_side(stays, spec, start, end), ["stay_key", "year"], "inner")
+    return j.select(
+        F.lit(spec.name).alias("service"),
+        "stay_key",
+        "year",
+        "person_id",
+        "stay_sex",
+        "home_municipality",
+        "care_level",
+        *[F.col(g) if g in own else F.lit(None).cast("int").alias(g) for g in flags],
     )
-    rows = j.select(
+
+
+def collapse(rows: DataFrame, persons: DataFrame, flags) -> DataFrame:
+    """Person attributes (left join) and one row per (service, stay_key):
+    OR of the flags and one whole representative row (E1). One person join
+    and one aggregate serve every service in ``rows``."""
+    j = rows.join(_person_lookup(persons), "person_id", "left")
+    picked = j.select(
+        "service",
         "stay_key",
         F.col("person_id"),
         F.col("year"),
@@ -171,22 +184,36 @@ def episodes(
         F.col("home_municipality"),
         *flags,
     )
-    ep = rows.groupBy("stay_key").agg(
+    ep = picked.groupBy("service", "stay_key").agg(
         F.min(_pick_struct()).alias("pick"), *[F.max(g).alias(g) for g in flags]
     )
     return ep.select(
         F.col("pick.person_id").alias("person_id"),
-        F.concat(F.lit(spec.name), F.col("stay_key").cast("string")).alias("episode_id"),
+        F.concat(F.col("service"), F.col("stay_key").cast("string")).alias("episode_id"),
         F.col("pick.age").alias("age"),
         F.col("pick.sex").alias("sex"),
         F.col("pick.home_municipality").alias("home_municipality"),
         F.col("pick.year").alias("year"),
-        F.lit(spec.name).alias("service"),
+        F.col("service"),
         F.col("pick.care_level").alias("care_level"),
         *flags,
     )
 
 
+def episodes(
+    codes: DataFrame,
+    stays: DataFrame,
+    persons: DataFrame,
+    spec: ServiceSpec,
+    start: int = cat.START_YEAR,
+    end: int = cat.END_YEAR,
+) -> DataFrame:
+    """One row per episode of one service, with OR-ed group flags and
+    one whole representative row (E1)."""
+    flags = spec.group_names
+    return collapse(stay_rows(codes, stays, spec, start, end, flags), persons, flags)
+
+
 def episodes_window(
     codes: DataFrame,
     stays: DataFrame,
@@ -213,11 +240,13 @@ def episodes_window(
 
 def extract_all(sources, start: int = cat.START_YEAR, end: int = cat.END_YEAR) -> DataFrame:
     """All services' episodes in one long DataFrame with a ``service`` column.
-    Flags of groups a service does not have are NULL."""
+    The per-service stay rows are unioned first, so the person dimension is
+    joined once and the collapse is one aggregate keyed by (service,
+    stay_key). Flags of groups a service does not have are NULL."""
+    flags = list(cat.ALL_GROUP_NAMES)
     parts = [
-        episodes(sources.codes[s.name], sources.stays[s.name], sources.persons, s, start, end)
+        stay_rows(sources.codes[s.name], sources.stays[s.name], s, start, end, flags)
         for s in sources.services
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(
-        *EPISODE_COLUMNS, *cat.ALL_GROUP_NAMES
-    )
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    return collapse(rows, sources.persons, flags).select(*EPISODE_COLUMNS, *flags)
