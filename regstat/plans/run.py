@@ -18,6 +18,7 @@ one stage from a written table, never the whole run.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -41,6 +42,7 @@ class RunResult:
     empty_services: list[str] = field(default_factory=list)
     duplicate_places: int = 0
     residence_rows: int = 0
+    stage_sec: dict[str, float] = field(default_factory=dict)
 
 
 def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
@@ -62,15 +64,24 @@ def run(
     out_dir = f"{out.rstrip('/')}/profiles_{start}_{end}_{run_date}"
     res = RunResult(out_dir=out_dir, work_dir=work)
 
+    t0 = [time.time()]
+
+    def mark(stage: str) -> None:
+        now = time.time()
+        res.stage_sec[stage] = round(now - t0[0], 3)
+        t0[0] = now
+
     # 1. guards on schemas only
     sources.check()
 
     # 2. extracts of all services (P1 x 5, H3) - one job, partitioned by service
     extract = _materialise(spark, episodes.extract_all(sources, start, end), f"{work}/extract", ["service"])
     require_columns({"extract": extract}, ["care_level"], 50002)  # A14
+    mark("extract")
 
     # 3. value guard
     checks.guard_care_levels(extract)
+    mark("guard")
 
     # 4. residence for the cohort
     res_year = _materialise(
@@ -80,11 +91,13 @@ def run(
     )
 
     res.residence_rows = res_year.count()  # E15, from the written table
+    mark("residence")
 
     # places (P5) and duplicate warning
     raw_places = sources.places
     res.duplicate_places = checks.warn_duplicate_places(places.duplicates(raw_places))
     place_dim = places.places(raw_places)
+    mark("places")
 
     # 5. all profiles in one pass (P6), then one delivered table per service
     joined = tabulate.episodes_with_residence(extract, res_year, start, end)
@@ -94,6 +107,7 @@ def run(
     )
     # no global sort: the sink writes one directory per year, sorted within
     delivered = {s.label: tabulate.split_profile(all_profiles, s, sort=False) for s in sources.services}
+    mark("profiles")
 
     # 6. control table (P9), precheck
     svc = checks.service_list(spark, sources.services)
@@ -108,9 +122,11 @@ def run(
     orders["control"] = [F.array_position(labels, F.col("service"))]
     orders["care_level_precheck"] = [F.col("care_level").asc_nulls_last()]
     write_delivery(delivered, out_dir, csv=csv, orders=orders)
+    mark("delivery")
     res.tables = {name: f"{out_dir}/{name}" for name in delivered}
 
     control = spark.read.parquet(f"{out_dir}/control/parquet")
     res.empty_services = checks.warn_empty_services(control)  # A18
     res.control = [r.asDict() for r in control.orderBy(orders["control"][0]).collect()]  # 1 row/service
+    mark("control_readback")
     return res

@@ -47,29 +47,47 @@ def with_run_date(path: str, run_date: str | None) -> str:
     return path if not run_date else f"{path.rstrip('/')}/run_date={run_date}"
 
 
+def _deliver_one(name: str, df: DataFrame, out: str, csv: bool, order: list) -> None:
+    part = ["Ar"] if "Ar" in df.columns else None
+    pq = f"{out}/{name}/parquet"
+    write_table(df, pq, part, sort_within=order if part else None)
+    if not csv:
+        return
+    back = df.sparkSession.read.parquet(pq)
+    if part:
+        write_table(back.select(*df.columns), f"{out}/{name}/csv", part, "csv", sort_within=order)
+    else:
+        small = back.orderBy(*order) if order else back
+        write_table(small.coalesce(1), f"{out}/{name}/csv", None, "csv")
+
+
 def write_delivery(
     tables: dict[str, DataFrame],
     out: str,
     csv: bool = True,
     orders: dict[str, list] | None = None,
+    parallel: int = 4,
 ) -> None:
     """One directory per table. Parquet is written once (profile tables
     partitioned by year, ``Ar``); the CSV copy with a header row is made from
     the written parquet, not by recomputing the plan. Profile CSVs stay
     partitioned by year and sorted within each file, so no single task
-    writes a whole table; the small check tables are one sorted file each."""
+    writes a whole table; the small check tables are one sorted file each.
+
+    The tables are independent, so up to ``parallel`` of them are written
+    as concurrent Spark jobs of the same session."""
     out = out.rstrip("/")
     orders = orders or {}
-    for name, df in tables.items():
-        part = ["Ar"] if "Ar" in df.columns else None
-        pq = f"{out}/{name}/parquet"
-        write_table(df, pq, part, sort_within=orders.get(name) if part else None)
-        if not csv:
-            continue
-        back = df.sparkSession.read.parquet(pq)
-        order = orders.get(name, [])
-        if part:
-            write_table(back.select(*df.columns), f"{out}/{name}/csv", part, "csv", sort_within=order)
-        else:
-            small = back.orderBy(*order) if order else back
-            write_table(small.coalesce(1), f"{out}/{name}/csv", None, "csv")
+    if parallel <= 1 or len(tables) <= 1:
+        for name, df in tables.items():
+            _deliver_one(name, df, out, csv, orders.get(name, []))
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
+        futures = [
+            pool.submit(_deliver_one, name, df, out, csv, orders.get(name, []))
+            for name, df in tables.items()
+        ]
+        for f in futures:
+            f.result()  # re-raise the first failure
