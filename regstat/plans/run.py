@@ -130,3 +130,33 @@ def run(
     res.control = [r.asDict() for r in control.orderBy(orders["control"][0]).collect()]  # 1 row/service
     mark("control_readback")
     return res
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m regstat.plans.run --sources ROOT --out DIR``.
+    Uses the active session when one exists (cluster submit), else a local
+    one."""
+    import argparse
+    import json
+
+    from regstat.session import local_session
+    from regstat.sources.readers import read_sources
+
+    ap = argparse.ArgumentParser(description="Register profile statistics, whole run")
+    ap.add_argument("--sources", required=True, help="staged layout: codes/ stays/ persons/ residence/ places/")
+    ap.add_argument("--out", required=True, help="shared output folder")
+    ap.add_argument("--start", type=int, default=cat.START_YEAR)
+    ap.add_argument("--end", type=int, default=cat.END_YEAR)
+    ap.add_argument("--run-date", default=None)
+    ap.add_argument("--no-csv", action="store_true")
+    a = ap.parse_args(argv)
+    spark = SparkSession.getActiveSession() or local_session()
+    r = run(spark, read_sources(spark, a.sources), a.out, a.start, a.end, a.run_date, not a.no_csv)
+    print(json.dumps({"out": r.out_dir, "control": r.control, "stage_sec": r.stage_sec,
+                      "empty_services": r.empty_services, "residence_rows": r.residence_rows},
+                     default=str))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -98,7 +98,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     session and folder, so the registered queries share one construction."""
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _FIXTURE_CACHE.get(key)
-    if hit is not None and spark.sparkContext._jsc is not None:
+    if hit is not None and hit.persons.sparkSession is spark and spark.sparkContext._jsc is not None:
         return hit
     ensure_checkpoint_dir(spark)
     f = fixture_frames(spark, sf_dir)

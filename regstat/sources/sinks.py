@@ -43,10 +43,6 @@ def write_sources(frames: dict[str, DataFrame], root: str) -> None:
         write_table(frames[name], f"{root}/{name}")
 
 
-def with_run_date(path: str, run_date: str | None) -> str:
-    return path if not run_date else f"{path.rstrip('/')}/run_date={run_date}"
-
-
 def _deliver_one(name: str, df: DataFrame, out: str, csv: bool, order: list) -> None:
     part = ["Ar"] if "Ar" in df.columns else None
     pq = f"{out}/{name}/parquet"
