@@ -46,12 +46,23 @@ def write_sources(frames: dict[str, DataFrame], root: str) -> None:
 def _deliver_one(name: str, df: DataFrame, out: str, csv: bool, order: list) -> None:
     part = ["Ar"] if "Ar" in df.columns else None
     pq = f"{out}/{name}/parquet"
-    write_table(df, pq, part, sort_within=order if part else None)
+    if part:
+        # one sorted file per year: a year of a delivered table is bounded by
+        # its cells (municipalities x sexes x ages), not by register volume
+        df = df.repartition(*part)
+    # the partition column leads the order, so the writer keeps ours
+    write_table(df, pq, part, sort_within=[*part, *order] if part else None)
     if not csv:
         return
     back = df.sparkSession.read.parquet(pq)
     if part:
-        write_table(back.select(*df.columns), f"{out}/{name}/csv", part, "csv", sort_within=order)
+        write_table(
+            back.select(*df.columns).repartition(*part),
+            f"{out}/{name}/csv",
+            part,
+            "csv",
+            sort_within=[*part, *order],
+        )
     else:
         small = back.orderBy(*order) if order else back
         write_table(small.coalesce(1), f"{out}/{name}/csv", None, "csv")
