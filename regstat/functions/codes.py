@@ -48,15 +48,27 @@ def group_flags(code: str, groups) -> list[Column]:
 
 def cohort_predicate(code: str, spec: ServiceSpec) -> Column:
     """The code is relevant to the service: it falls in any of its groups."""
-    return F.expr(" OR ".join(group_predicate_sql(code, g) for g in spec.groups))
+    return F.expr(cohort_predicate_sql(code, spec))
 
 
-def main_diagnosis(sel: MainDiagnosis) -> Column:
-    """Main-diagnosis selector on a codes table (plain column predicates, so
-    parquet receives them as pushed filters)."""
+def group_flag_sql(code: str, group: CodeGroup) -> str:
+    return f"CASE WHEN {group_predicate_sql(code, group)} THEN 1 ELSE 0 END AS {group.name}"
+
+
+def cohort_predicate_sql(code: str, spec: ServiceSpec) -> str:
+    return "(" + " OR ".join(group_predicate_sql(code, g) for g in spec.groups) + ")"
+
+
+def main_diagnosis_sql(sel: MainDiagnosis) -> str:
+    """SQL text of the main-diagnosis selector: plain column predicates, so
+    parquet receives them as pushed filters."""
     if sel.kind == "type":
         nos = ", ".join(str(n) for n in sel.code_nos)
-        return F.expr(f"code_type = {sel.code_type} AND code_no IN ({nos})")
+        return f"(code_type = {sel.code_type} AND code_no IN ({nos}))"
     if sel.kind == "axis":
-        return F.expr(f"axis = {sel.axis} AND condition = {sel.condition}")
+        return f"(axis = {sel.axis} AND condition = {sel.condition})"
     raise ValueError(f"unknown selector kind {sel.kind!r}")
+
+
+def main_diagnosis(sel: MainDiagnosis) -> Column:
+    return F.expr(main_diagnosis_sql(sel))

@@ -31,18 +31,37 @@ def care_level_ok(c, levels=cat.CARE_LEVELS) -> Column:
     return _c(c).isin(*levels)
 
 
-def sex_label(dim_sex, stay_sex) -> Column:
-    """Dimension sex first, stay sex second; '1' men, '2' women, else unknown."""
-    s = F.coalesce(_c(dim_sex).cast("string"), _c(stay_sex).cast("string"))
-    expr = None
-    for code, label in cat.SEX_CODES.items():
-        expr = (F.when if expr is None else expr.when)(s == F.lit(code), F.lit(label))
-    return expr.otherwise(F.lit(cat.SEX_UNKNOWN))
-
-
-def age_at(year, birth_year) -> Column:
-    """Age as year minus birth year; NULL when the person is unknown."""
-    return (_c(year) - _c(birth_year)).cast("int")
+def sex_label_sql(dim_sex: str, stay_sex: str) -> str:
+    """SQL text: dimension sex first, stay sex second; '1' men, '2' women,
+    anything else or NULL unknown."""
+    whens = " ".join(f"WHEN '{code}' THEN '{label}'" for code, label in cat.SEX_CODES.items())
+    return (
+        f"CASE coalesce(CAST({dim_sex} AS STRING), CAST({stay_sex} AS STRING)) "
+        f"{whens} ELSE '{cat.SEX_UNKNOWN}' END"
+    )
+
+
+def sex_label(dim_sex: str, stay_sex: str) -> Column:
+    """Sex label from two column names (see ``sex_label_sql``)."""
+    return F.expr(sex_label_sql(dim_sex, stay_sex))
+
+
+def age_at_sql(year: str, birth_year: str) -> str:
+    """SQL text: age as year minus birth year; NULL when the person is unknown."""
+    return f"CAST({year} - {birth_year} AS INT)"
+
+
+def age_at(year: str, birth_year: str) -> Column:
+    return F.expr(age_at_sql(year, birth_year))
+
+
+def stay_conditions_sql(max_length: int = cat.MAX_ID_LENGTH, levels=cat.CARE_LEVELS) -> list[str]:
+    """SQL text of the id and care-level rules on a stays table. Plain
+    comparisons, so the care-level test reaches parquet as a pushed filter."""
+    return [
+        f"length(rtrim(person_id)) < {max_length}",
+        f"care_level IN ({', '.join(str(v) for v in levels)})",
+    ]
 
 
 def null_sentinels(c, sentinels=cat.MUNICIPALITY_SENTINELS) -> Column:

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
 from regstat.catalogue import ServiceSpec
-from regstat.functions.codes import cohort_predicate, group_flags, main_diagnosis
-from regstat.functions.scalar import age_at, care_level_ok, sex_label, string_id, valid_person_id
+from regstat.functions.codes import cohort_predicate_sql, group_flag_sql, main_diagnosis_sql
+from regstat.functions.scalar import age_at_sql, sex_label_sql, stay_conditions_sql
 
 EPISODE_COLUMNS = (
     "person_id",
@@ -55,67 +55,64 @@ PICK_ORDER = (
 )
 
 
+def stay_filter_sql(spec: ServiceSpec, start: int, end: int) -> str:
+    """SQL text of the stays predicate (B7, B8, B11-B13). The period, care
+    level, rehab and level tests are plain comparisons, so parquet receives
+    them as pushed filters; the id-length test runs right after the scan."""
+    cond = [*stay_conditions_sql(), f"year BETWEEN {start} AND {end}"]
+    if spec.somatic_stay_filter:
+        cond.append(f"(is_rehab IS NULL OR is_rehab = {cat.REHAB_KEEP})")
+        cond.append(f"niva <> '{cat.LEVEL_EXCLUDED}'")
+    return " AND ".join(cond)
+
+
 def stay_filter(spec: ServiceSpec, start: int, end: int):
     """Predicate on a stays table."""
-    cond = (
-        valid_person_id("person_id")
-        & F.col("year").between(start, end)
-        & care_level_ok("care_level")
-    )
-    if spec.somatic_stay_filter:
-        rehab = F.col("is_rehab")
-        cond = cond & (rehab.isNull() | (rehab == F.lit(cat.REHAB_KEEP)))
-        cond = cond & (F.col("niva") != F.lit(cat.LEVEL_EXCLUDED))
-    return cond
+    return F.expr(stay_filter_sql(spec, start, end))
 
 
 def valid_stays(stays: DataFrame, spec: ServiceSpec, start: int, end: int) -> DataFrame:
     return stays.filter(stay_filter(spec, start, end))
 
 
+def _main_sql(spec: ServiceSpec, start: int, end: int) -> str:
+    return f"{main_diagnosis_sql(spec.selector)} AND year BETWEEN {start} AND {end}"
+
+
 def main_diagnosis_rows(codes: DataFrame, spec: ServiceSpec, start: int, end: int) -> DataFrame:
     """Code rows that are a main diagnosis in the period."""
-    return codes.filter(main_diagnosis(spec.selector) & F.col("year").between(start, end))
+    return codes.filter(F.expr(_main_sql(spec, start, end)))
 
 
 def marked_codes(codes: DataFrame, spec: ServiceSpec, start: int, end: int) -> DataFrame:
     """Relevant main-diagnosis code rows with one 0/1 flag per group."""
-    return main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate("code", spec)).select(
-        "stay_key", "year", *group_flags("code", spec.groups)
+    cond = f"{_main_sql(spec, start, end)} AND {cohort_predicate_sql('code', spec)}"
+    return codes.filter(F.expr(cond)).selectExpr(
+        "stay_key", "year", *[group_flag_sql("code", g) for g in spec.groups]
     )
 
 
 def _person_lookup(persons: DataFrame) -> DataFrame:
-    return persons.select(
-        string_id("person_id").alias("person_id"),
-        F.col("birth_year"),
-        F.col("sex").cast("string").alias("dim_sex"),
+    return persons.selectExpr(
+        "rtrim(CAST(person_id AS STRING)) AS person_id",
+        "birth_year",
+        "CAST(sex AS STRING) AS dim_sex",
     )
 
 
 def _stay_side(stays: DataFrame, spec: ServiceSpec, start: int, end: int) -> DataFrame:
-    return valid_stays(stays, spec, start, end).select(
+    return valid_stays(stays, spec, start, end).selectExpr(
         "stay_key",
         "year",
         "person_id",
-        F.col("sex").cast("string").alias("stay_sex"),
+        "CAST(sex AS STRING) AS stay_sex",
         "home_municipality",
         "care_level",
     )
 
 
-def _attributes(df: DataFrame, spec: ServiceSpec) -> list:
-    """Episode id, age and sex label from the joined stay and person rows."""
-    return [
-        F.col("person_id"),
-        F.concat(F.lit(spec.name), F.col("stay_key").cast("string")).alias("episode_id"),
-        age_at("year", "birth_year").alias("age"),
-        sex_label("dim_sex", "stay_sex").alias("sex"),
-        F.col("home_municipality"),
-        F.col("year"),
-        F.lit(spec.name).alias("service"),
-        F.col("care_level"),
-    ]
+_AGE = age_at_sql("year", "birth_year")
+_SEX = sex_label_sql("dim_sex", "stay_sex")
 
 
 def marked_rows(
@@ -133,17 +130,30 @@ def marked_rows(
         .join(_stay_side(stays, spec, start, end), ["stay_key", "year"], "inner")
         .join(_person_lookup(persons), "person_id", "left")
     )
-    return j.select("stay_key", *_attributes(j, spec), *spec.group_names)
+    return j.selectExpr(
+        "stay_key",
+        "person_id",
+        f"concat('{spec.name}', CAST(stay_key AS STRING)) AS episode_id",
+        f"{_AGE} AS age",
+        f"{_SEX} AS sex",
+        "home_municipality",
+        "year",
+        f"'{spec.name}' AS service",
+        "care_level",
+        *spec.group_names,
+    )
 
 
-def _pick_struct():
+def _pick_sql() -> str:
+    """The representative row as one struct whose ordering is the pick order.
+    Struct ordering puts NULL first, so each nullable field is preceded by
+    an is-null flag that sends NULL last."""
     fields = []
     for name, nullable in PICK_ORDER:
         if nullable:
-            # struct ordering puts NULL first; a leading is-null flag sends it last
-            fields.append(F.col(name).isNull().alias(f"{name}_isnull"))
-        fields.append(F.col(name))
-    return F.struct(*fields)
+            fields.append(f"'{name}_isnull', {name} IS NULL")
+        fields.append(f"'{name}', {name}")
+    return f"named_struct({', '.join(fields)})"
 
 
 def stay_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int, end: int, flags) -> DataFrame:
@@ -153,18 +163,18 @@ def stay_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int,
     the service does not have are NULL."""
     own = spec.group_names
     per_stay_year = marked_codes(codes, spec, start, end).groupBy("stay_key", "year").agg(
-        *[F.max(g).alias(g) for g in own]
+        *[F.expr(f"max({g}) AS {g}") for g in own]
     )
     j = per_stay_year.join(_stay_side(stays, spec, start, end), ["stay_key", "year"], "inner")
-    return j.select(
-        F.lit(spec.name).alias("service"),
+    return j.selectExpr(
+        f"'{spec.name}' AS service",
         "stay_key",
         "year",
         "person_id",
         "stay_sex",
         "home_municipality",
         "care_level",
-        *[F.col(g) if g in own else F.lit(None).cast("int").alias(g) for g in flags],
+        *[g if g in own else f"CAST(NULL AS INT) AS {g}" for g in flags],
     )
 
 
@@ -173,29 +183,29 @@ def collapse(rows: DataFrame, persons: DataFrame, flags) -> DataFrame:
     OR of the flags and one whole representative row (E1). One person join
     and one aggregate serve every service in ``rows``."""
     j = rows.join(_person_lookup(persons), "person_id", "left")
-    picked = j.select(
+    picked = j.selectExpr(
         "service",
         "stay_key",
-        F.col("person_id"),
-        F.col("year"),
-        F.col("care_level"),
-        age_at("year", "birth_year").alias("age"),
-        sex_label("dim_sex", "stay_sex").alias("sex"),
-        F.col("home_municipality"),
+        "person_id",
+        "year",
+        "care_level",
+        f"{_AGE} AS age",
+        f"{_SEX} AS sex",
+        "home_municipality",
         *flags,
     )
     ep = picked.groupBy("service", "stay_key").agg(
-        F.min(_pick_struct()).alias("pick"), *[F.max(g).alias(g) for g in flags]
+        F.expr(f"min({_pick_sql()}) AS pick"), *[F.expr(f"max({g}) AS {g}") for g in flags]
     )
-    return ep.select(
-        F.col("pick.person_id").alias("person_id"),
-        F.concat(F.col("service"), F.col("stay_key").cast("string")).alias("episode_id"),
-        F.col("pick.age").alias("age"),
-        F.col("pick.sex").alias("sex"),
-        F.col("pick.home_municipality").alias("home_municipality"),
-        F.col("pick.year").alias("year"),
-        F.col("service"),
-        F.col("pick.care_level").alias("care_level"),
+    return ep.selectExpr(
+        "pick.person_id AS person_id",
+        "concat(service, CAST(stay_key AS STRING)) AS episode_id",
+        "pick.age AS age",
+        "pick.sex AS sex",
+        "pick.home_municipality AS home_municipality",
+        "pick.year AS year",
+        "service",
+        "pick.care_level AS care_level",
         *flags,
     )
 

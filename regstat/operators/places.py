@@ -7,37 +7,41 @@ collects it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
-from regstat.functions.scalar import pad_code
 
 KEY = cat.PLACE_COLUMNS[0]
 OTHER = cat.PLACE_COLUMNS[1:]
 
 
-def _apply_overrides(df: DataFrame, overrides) -> DataFrame:
-    """Code -> (current code, current name). A NULL key gives NULL current
-    values, as a vectorised if-else with a missing condition does."""
-    key = F.col(KEY)
-    code_expr = F.when(key.isNull(), F.lit(None).cast("string"))
-    name_expr = F.when(key.isNull(), F.lit(None).cast("string"))
-    for code, cur_code, cur_name in overrides:
-        code_expr = code_expr.when(key == F.lit(code), F.lit(cur_code))
-        name_expr = name_expr.when(key == F.lit(code), F.lit(cur_name))
-    return df.withColumn("kommunenrdagens", code_expr.otherwise(F.col("kommunenrdagens"))).withColumn(
-        "kommunenavndagens", name_expr.otherwise(F.col("kommunenavndagens"))
-    )
+def _override_sql(target: str, pick: int, overrides) -> str:
+    """CASE text for a current-code or current-name column. A NULL key gives
+    NULL, as a vectorised if-else with a missing condition does."""
+    whens = " ".join(f"WHEN {KEY} = '{o[0]}' THEN '{o[pick]}'" for o in overrides)
+    return f"CASE WHEN {KEY} IS NULL THEN NULL {whens} ELSE {target} END AS {target}"
 
 
 def prepared(raw: DataFrame, overrides=cat.PLACE_OVERRIDES) -> DataFrame:
-    """Distinct raw rows (A5), all columns as text, key padded (B20), then
-    overrides (B22). May still hold several rows per key."""
+    """Distinct raw rows (A5), all columns as text, key padded without
+    truncation (B20), then overrides (B22). May still hold several rows per
+    key."""
     d = raw.select(*cat.PLACE_COLUMNS).distinct()
-    d = d.select(*[F.col(c).cast("string").alias(c) for c in cat.PLACE_COLUMNS])
-    d = d.withColumn(KEY, pad_code(KEY))
-    return _apply_overrides(d, overrides)
+    d = d.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in cat.PLACE_COLUMNS])
+    d = d.selectExpr(
+        f"CASE WHEN length({KEY}) < {cat.MUNICIPALITY_WIDTH} "
+        f"THEN lpad({KEY}, {cat.MUNICIPALITY_WIDTH}, '0') ELSE {KEY} END AS {KEY}",
+        *OTHER,
+    )
+    return d.selectExpr(
+        *[
+            _override_sql(c, 1, overrides) if c == "kommunenrdagens"
+            else _override_sql(c, 2, overrides) if c == "kommunenavndagens"
+            else c
+            for c in cat.PLACE_COLUMNS
+        ]
+    )
 
 
 def duplicates(raw: DataFrame, overrides=cat.PLACE_OVERRIDES) -> DataFrame:
@@ -53,10 +57,10 @@ def duplicates(raw: DataFrame, overrides=cat.PLACE_OVERRIDES) -> DataFrame:
 def places(raw: DataFrame, overrides=cat.PLACE_OVERRIDES) -> DataFrame:
     """P5: one row per key. Of duplicate rows the first by the remaining
     columns (NULLs last) is kept, so the choice is deterministic (H4)."""
-    w = Window.partitionBy(KEY).orderBy(*[F.col(c).asc_nulls_last() for c in OTHER])
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in OTHER)
     return (
         prepared(raw, overrides)
-        .withColumn("_row", F.row_number().over(w))
-        .filter(F.col("_row") == 1)
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {KEY} ORDER BY {order}) AS _row")
+        .filter("_row = 1")
         .drop("_row")
     )

@@ -27,10 +27,10 @@ def cohort(extract: DataFrame) -> DataFrame:
     return extract.select("person_id").distinct()
 
 
-def _covers(day) -> F.Column:
+def _covers_sql(day: str) -> str:
     """Interval [from_date, to_date] holds ``day``: both ends inclusive, NULL
     end is open, NULL start never matches."""
-    return (F.col("from_date") <= day) & (F.col("to_date").isNull() | (F.col("to_date") >= day))
+    return f"(from_date <= {day} AND (to_date IS NULL OR to_date >= {day}))"
 
 
 def snapshots(
@@ -45,27 +45,23 @@ def snapshots(
     r = residence.select(
         string_id("person_id").alias("person_id"), "from_date", "to_date", "municipality"
     ).join(cohort_ids, "person_id", "left_semi")
-    first = F.greatest(F.year("from_date"), F.lit(start))
-    last = F.least(F.coalesce(F.year("to_date"), F.lit(end)), F.lit(end))
-    touched = (
-        r.filter(F.col("from_date").isNotNull())
-        .withColumn("y0", first)
-        .withColumn("y1", last)
-        # sequence() counts down when start > stop: keep only forward ranges
-        .filter(F.col("y0") <= F.col("y1"))
-        .withColumn("year", F.explode(F.sequence("y0", "y1")))
-    )
-    jan1 = F.make_date("year", F.lit(1), F.lit(1))
-    dec31 = F.make_date("year", F.lit(12), F.lit(31))
-    m = F.col("municipality").cast("string")
-    dated = touched.select(
+    # years an interval touches, clipped to the period; sequence() counts
+    # down when start > stop, so only forward ranges are kept
+    touched = r.selectExpr(
+        "*",
+        f"greatest(year(from_date), {start}) AS y0",
+        f"least(coalesce(year(to_date), {end}), {end}) AS y1",
+    ).filter("from_date IS NOT NULL AND y0 <= y1")
+    jan1, dec31 = "make_date(year, 1, 1)", "make_date(year, 12, 31)"
+    dated = touched.selectExpr("person_id", "explode(sequence(y0, y1)) AS year", "from_date", "to_date",
+                               "CAST(municipality AS STRING) AS m").selectExpr(
         "person_id",
         "year",
-        F.when(_covers(jan1), m).alias("m_jan1"),
-        F.when(_covers(dec31), m).alias("m_dec31"),
-    ).filter(F.col("m_jan1").isNotNull() | F.col("m_dec31").isNotNull())
+        f"CASE WHEN {_covers_sql(jan1)} THEN m END AS m_jan1",
+        f"CASE WHEN {_covers_sql(dec31)} THEN m END AS m_dec31",
+    ).filter("m_jan1 IS NOT NULL OR m_dec31 IS NOT NULL")
     return dated.groupBy("person_id", "year").agg(
-        F.max("m_jan1").alias("jan1"), F.max("m_dec31").alias("dec31")
+        F.expr("max(m_jan1) AS jan1"), F.expr("max(m_dec31) AS dec31")
     )
 
 

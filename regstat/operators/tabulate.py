@@ -40,9 +40,9 @@ def episodes_with_residence(
 def profile_counts(joined: DataFrame, groups, extra_keys=()) -> DataFrame:
     """Two-level distinct-person counts per cell (0 when none, never NULL)."""
     keys = [*extra_keys, *KEYS]
-    per_person = joined.groupBy(*keys, "person_id").agg(*[F.max(g).alias(g) for g in groups])
+    per_person = joined.groupBy(*keys, "person_id").agg(*[F.expr(f"max({g}) AS {g}") for g in groups])
     return per_person.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(g), F.lit(0)).cast("long").alias(g) for g in groups]
+        *[F.expr(f"CAST(coalesce(sum({g}), 0) AS BIGINT) AS {g}") for g in groups]
     )
 
 
@@ -52,7 +52,7 @@ def profile_counts_distinct(joined: DataFrame, groups, extra_keys=()) -> DataFra
     keys = [*extra_keys, *KEYS]
     return joined.groupBy(*keys).agg(
         *[
-            F.countDistinct(F.when(F.col(g) == 1, F.col("person_id"))).cast("long").alias(g)
+            F.expr(f"CAST(count(DISTINCT CASE WHEN {g} = 1 THEN person_id END) AS BIGINT) AS {g}")
             for g in groups
         ]
     )
