@@ -16,7 +16,7 @@ Folding code rows per (stay_key, year) before the join is exact: code rows
 only contribute flags, and candidates for the representative row are stay x
 person rows, which the fold does not change.
 
-Representative row. The reference's pick is arbitrary (row_number ordered by
+Representative row. The source job's pick is arbitrary (row_number ordered by
 the partition key). We fix one whole row: the least by (year, person_id,
 care_level, age, sex, home_municipality), NULLs last.
 """

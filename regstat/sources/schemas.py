@@ -127,7 +127,7 @@ def normalise(
 
 
 def normalise_names(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Only fix the case of the given column names (``NPRid`` -> ``NPRId``
+    """Only fix the case of the given column names (``personid`` -> ``PersonId``
     style drift); other columns are left as they are."""
     wanted = {n.lower(): n for n in names}
     for f in df.schema.fields:

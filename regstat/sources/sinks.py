@@ -1,7 +1,7 @@
 """Writers: staged sources, intermediate tables and the delivered result set.
 
 Every write is ``mode("overwrite")`` so a rerun replaces the previous output
-(the reference drops and recreates its tables). Paths are on the shared file
+(a rerun drops and recreates its tables). Paths are on the shared file
 system the caller names; nothing goes to a machine-local folder.
 """
 

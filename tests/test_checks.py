@@ -91,8 +91,8 @@ def test_missing_column_stops_before_any_job(spark):
 
 def test_normalise_case_types_and_ids(spark):
     raw = spark.createDataFrame(
-        [("5", "x", "123  ", 1, "2")], "STAY_KEY string, Year string, NPR string, care_level long, sex string"
-    ).withColumnRenamed("NPR", "Person_ID")
+        [("5", "x", "123  ", 1, "2")], "STAY_KEY string, Year string, PID string, care_level long, sex string"
+    ).withColumnRenamed("PID", "Person_ID")
     n = normalise(raw, STAYS, ["person_id"])
     r = n.first().asDict()
     assert n.columns == [f.name for f in STAYS.fields]

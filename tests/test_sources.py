@@ -22,9 +22,9 @@ def test_read_table_by_path_and_by_name(spark):
 
 
 def test_normalise_names_fixes_case_drift(spark):
-    df = spark.createDataFrame([(1, 2)], "NPRid long, aar int")
-    out = normalise_names(df, ["NPRId"])
-    assert out.columns == ["NPRId", "aar"]
+    df = spark.createDataFrame([(1, 2)], "personid long, year int")
+    out = normalise_names(df, ["PersonId"])
+    assert out.columns == ["PersonId", "year"]
 
 
 def test_fixture_frames_match_documented_counts(spark):
