@@ -8,7 +8,6 @@ system the caller names; nothing goes to a machine-local folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_table(
