@@ -27,6 +27,10 @@ RECOMMENDED = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # partitioned writes by service (5 values) use one open writer per value
+    # instead of sorting every task's rows by the partition column; past 8
+    # values a task falls back to sorting the rest (bounded writer memory)
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     # upper bound for the first shuffles of a 100 TB run; AQE coalesces
     # small stages down to the advisory size
