@@ -29,6 +29,18 @@ def test_stage_then_run(spark):
     assert control["SOM"]["extract_rows"] == 78
     assert res.duplicate_places == 1
 
+    # one sorted file per year: municipality, sex, age (unknown age last)
+    import csv
+    import glob
+
+    files = sorted(glob.glob(res.tables["SOM"] + "/csv/Ar=*/*.csv"))
+    assert files
+    for f in files:
+        rows = list(csv.reader(open(f)))[1:]
+        key = [(r[0], r[8], int(r[9]) if r[9] else 10**9) for r in rows]
+        assert key == sorted(key)
+    assert all(len(glob.glob(d + "/*.csv")) == 1 for d in glob.glob(res.tables["SOM"] + "/csv/Ar=*"))
+
     # the staged layout prunes by service directory and pushes the selector
     plan = src.codes["SOM"].filter("code_type = 6")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "service" in plan
