@@ -34,9 +34,10 @@ def write_sources(frames: dict[str, DataFrame], root: str) -> None:
     whole directories."""
     root = root.rstrip("/")
     for name in ("codes", "stays"):
-        df = frames[name]
-        # one shuffle per table so each (service, year) directory gets few files
-        df = df.repartition("service", "year")
+        # group rows by directory so each gets few files; the rebalance hint
+        # lets AQE split a (service, year) holding a large share of all rows
+        # into several tasks and merge small ones
+        df = frames[name].hint("rebalance", "service", "year")
         write_table(df, f"{root}/{name}", ["service", "year"])
     for name in ("persons", "residence", "places"):
         write_table(frames[name], f"{root}/{name}")
