@@ -160,6 +160,23 @@ def residence_preview(wide: DataFrame, n: int = 5) -> DataFrame:
     return wide.orderBy("person_id").limit(n)
 
 
+def quality_checks(spark: SparkSession, extract: DataFrame, services=cat.SERVICES) -> dict[str, DataFrame]:
+    """The run's quality checks over the (unioned) extract, each a small
+    table (bounded by services, years, sexes or care levels). The residence
+    table holds one row per cohort person, so its distinct-person count is
+    the cohort's."""
+    svc = service_list(spark, services)
+    return {
+        "persons_per_service_year": persons_per_service_year(extract),
+        "persons_per_service": persons_per_service(extract, svc),
+        "year_span": year_span(extract, svc),
+        "sex_distribution": sex_distribution(extract),
+        "care_level_distribution": care_level_distribution(extract),
+        "rule_violations": rule_violations(extract),
+        "residence_persons": residence_persons(extract.select("person_id").distinct()),
+    }
+
+
 # ------------------------------------------------------------------ guards
 
 

@@ -116,11 +116,16 @@ def run(
     delivered["care_level_precheck"] = checks.care_level_precheck(
         sources.codes[avt.name], sources.stays[avt.name], avt, start, end
     )
+    quality = checks.quality_checks(spark, extract, sources.services)  # P8
+    delivered.update({f"checks/{k}": v for k, v in quality.items()})
     labels = F.array(*[F.lit(s.label) for s in sources.services])
     profile_order = ["Bostedskommune", "Kjonn", F.col("Alder").asc_nulls_last()]
     orders = {s.label: profile_order for s in sources.services}
     orders["control"] = [F.array_position(labels, F.col("service"))]
     orders["care_level_precheck"] = [F.col("care_level").asc_nulls_last()]
+    orders["checks/persons_per_service_year"] = ["service", "year"]
+    orders["checks/sex_distribution"] = ["service", "sex"]
+    orders["checks/care_level_distribution"] = ["service", F.col("care_level").asc_nulls_last()]
     write_delivery(delivered, out_dir, csv=csv, orders=orders)
     mark("delivery")
     res.tables = {name: f"{out_dir}/{name}" for name in delivered}

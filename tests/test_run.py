@@ -19,7 +19,13 @@ def test_stage_then_run(spark):
     src = read_sources(spark, f"{root}/sources")
     res = run(spark, src, f"{root}/out", run_date="2026-01-01")
 
-    assert set(res.tables) == {s.label for s in cat.SERVICES} | {"control", "care_level_precheck"}
+    checks = {"persons_per_service_year", "persons_per_service", "year_span", "sex_distribution",
+              "care_level_distribution", "rule_violations", "residence_persons"}
+    assert set(res.tables) == ({s.label for s in cat.SERVICES} | {"control", "care_level_precheck"}
+                               | {f"checks/{c}" for c in checks})
+    assert spark.read.parquet(res.tables["checks/rule_violations"] + "/parquet").count() == 0
+    n = spark.read.parquet(res.tables["checks/persons_per_service"] + "/parquet").collect()
+    assert len(n) == 5
     for path in res.tables.values():
         assert os.path.isdir(f"{path}/parquet") and os.path.isdir(f"{path}/csv")
     som = spark.read.parquet(res.tables["SOM"] + "/parquet")
