@@ -60,7 +60,8 @@ def run(
     csv: bool = True,
 ) -> RunResult:
     run_date = run_date or _dt.date.today().isoformat()
-    work = f"{ensure_checkpoint_dir(spark).rstrip('/')}/regstat-work-{uuid.uuid4().hex[:12]}"
+    base = ensure_checkpoint_dir(spark) or f"{out.rstrip('/')}/_work"
+    work = f"{base.rstrip('/')}/regstat-work-{uuid.uuid4().hex[:12]}"
     out_dir = f"{out.rstrip('/')}/profiles_{start}_{end}_{run_date}"
     res = RunResult(out_dir=out_dir, work_dir=work)
 

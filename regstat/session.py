@@ -65,17 +65,31 @@ def local_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on a Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local tests) a fresh
     scratch folder is made and registered."""
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        try:
+            return spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            return None
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if d:
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
         return d
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir()
     if current:
         return current
     d = tempfile.mkdtemp(prefix="regstat-ckpt-", dir=os.environ.get("REGSTAT_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d

@@ -93,12 +93,19 @@ def fixture_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 _FIXTURE_CACHE: dict[tuple[int, str], Sources] = {}
 
 
+def _alive(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jsc is not None
+    except Exception:  # Spark Connect: no SparkContext, the session is the handle
+        return True
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Lazy source plans over the driver tables. Plans (not data) are kept per
     session and folder, so the registered queries share one construction."""
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _FIXTURE_CACHE.get(key)
-    if hit is not None and hit.persons.sparkSession is spark and spark.sparkContext._jsc is not None:
+    if hit is not None and hit.persons.sparkSession is spark and _alive(spark):
         return hit
     ensure_checkpoint_dir(spark)
     f = fixture_frames(spark, sf_dir)
