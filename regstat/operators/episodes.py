@@ -234,7 +234,9 @@ def episodes_window(
 ) -> DataFrame:
     """The same result in window form (F1 + F2): MAX(flag) over the episode and
     ROW_NUMBER() = 1 under the fixed pick order. Kept for equivalence tests
-    and the benchmark; ``episodes`` is the plan to use."""
+    and the benchmark; ``episodes`` is the plan to use: a window keeps every
+    row of an episode in one task, while the aggregate form folds a hot key
+    map-side before the shuffle."""
     m = marked_rows(codes, stays, persons, spec, start, end)
     whole = Window.partitionBy("episode_id")
     order = []
