@@ -211,35 +211,31 @@ def warn_duplicate_places(dups: DataFrame) -> int:
 # ----------------------------------------------------------- control table
 
 
-def control_table(
-    extract: DataFrame,
-    joined: DataFrame,
-    profile_rows: DataFrame,
-    services: DataFrame,
-) -> DataFrame:
+def control_table(extract: DataFrame, profile_rows: DataFrame, services: DataFrame) -> DataFrame:
     """Per service - extract rows, distinct persons, rows at care
     level 1 and 2, rows after the residence join, rows in the delivered
     table, and its first and last year (NULL when empty). Every service has
     a row (S7).
 
-    ``profile_rows`` is the all-service profile (with ``service`` and
-    ``year``); each of the three inputs is reduced to one row per service
-    before the joins."""
+    ``profile_rows`` is the all-service profile with ``n_rows`` (see
+    ``tabulate.profile_counts(..., with_rows=True)``): rows after the join
+    are summed from it, so the join is not run a second time. Both inputs
+    are reduced to one row per service before the joins."""
     a = extract.groupBy("service").agg(
         F.count(F.lit(1)).alias("extract_rows"),
         F.countDistinct("person_id").alias("extract_persons"),
         F.count_if(F.col("care_level") == 1).alias("rows_care_level_1"),
         F.count_if(F.col("care_level") == 2).alias("rows_care_level_2"),
     )
-    b = joined.groupBy("service").agg(F.count(F.lit(1)).alias("rows_with_residence"))
     c = profile_rows.groupBy("service").agg(
+        F.sum("n_rows").alias("rows_with_residence"),
         F.count(F.lit(1)).alias("output_rows"),
         F.min("year").alias("min_year"),
         F.max("year").alias("max_year"),
     )
     counts = ["extract_rows", "extract_persons", "rows_care_level_1", "rows_care_level_2",
               "rows_with_residence", "output_rows"]
-    t = services.join(a, "service", "left").join(b, "service", "left").join(c, "service", "left")
+    t = services.join(a, "service", "left").join(c, "service", "left")
     return t.orderBy("service_order").select(
         F.col("label").alias("service"),
         *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in counts],

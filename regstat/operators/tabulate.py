@@ -37,13 +37,20 @@ def episodes_with_residence(
     return e.join(res_by_year, ["person_id", "year"], "inner")
 
 
-def profile_counts(joined: DataFrame, groups, extra_keys=()) -> DataFrame:
-    """Two-level distinct-person counts per cell (0 when none, never NULL)."""
+def profile_counts(joined: DataFrame, groups, extra_keys=(), with_rows: bool = False) -> DataFrame:
+    """Two-level distinct-person counts per cell (0 when none, never NULL).
+
+    ``with_rows`` also carries ``n_rows``, the joined rows behind each cell,
+    so the control table's "rows after the residence join" comes from this
+    small result instead of a second pass over the join."""
     keys = [*extra_keys, *KEYS]
-    per_person = joined.groupBy(*keys, "person_id").agg(*[F.expr(f"max({g}) AS {g}") for g in groups])
-    return per_person.groupBy(*keys).agg(
-        *[F.expr(f"CAST(coalesce(sum({g}), 0) AS BIGINT) AS {g}") for g in groups]
-    )
+    level1 = [F.expr(f"max({g}) AS {g}") for g in groups]
+    level2 = [F.expr(f"CAST(coalesce(sum({g}), 0) AS BIGINT) AS {g}") for g in groups]
+    if with_rows:
+        level1.append(F.expr("count(1) AS n_rows"))
+        level2.append(F.expr("CAST(sum(n_rows) AS BIGINT) AS n_rows"))
+    per_person = joined.groupBy(*keys, "person_id").agg(*level1)
+    return per_person.groupBy(*keys).agg(*level2)
 
 
 def profile_counts_distinct(joined: DataFrame, groups, extra_keys=()) -> DataFrame:
@@ -98,11 +105,11 @@ def profiles_all(
     end: int = cat.END_YEAR,
 ) -> DataFrame:
     """All services in one pass: one residence join and one two-level
-    aggregate keyed by service, with every group column (NULL where a group
-    does not belong to the service). Each delivered table is a filter on
-    ``service`` of this result."""
+    aggregate keyed by service, with every group column (0 where a group
+    does not belong to the service) and ``n_rows``. Each delivered table is
+    a filter on ``service`` of this result."""
     joined = episodes_with_residence(extract, res_by_year, start, end)
-    counts = profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",))
+    counts = profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",), with_rows=True)
     return with_places(counts, place_dim)
 
 

@@ -385,8 +385,8 @@ def build() -> dict[str, str]:
         base + res + pl + [_joined_cte()],
         f"""
 SELECT c.municipality, c.service, c.year, c.sex, c.age, {', '.join('c.' + g for g in cat.ALL_GROUP_NAMES)},
-  {', '.join('p.' + c for c in cat.PLACE_COLUMNS[1:])}
-FROM (SELECT service, year, municipality, sex, age, {sums}
+  c.n_rows, {', '.join('p.' + c for c in cat.PLACE_COLUMNS[1:])}
+FROM (SELECT service, year, municipality, sex, age, {sums}, count(*) AS n_rows
       FROM joined GROUP BY service, year, municipality, sex, age) c
 LEFT JOIN places p ON p.kommunenr = c.municipality""",
     )

@@ -263,8 +263,8 @@ def control_table(spark, sf_dir):
     src, e = _extract(spark, sf_dir)
     r = residence.residence_by_year(residence.cohort(e), src.residence)
     joined = tabulate.episodes_with_residence(e, r)
-    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",))
-    return checks.control_table(e, joined, counts, checks.service_list(spark))
+    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",), with_rows=True)
+    return checks.control_table(e, counts, checks.service_list(spark))
 
 
 def registry() -> dict[str, Query]:

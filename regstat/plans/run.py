@@ -102,7 +102,7 @@ def run(
 
     # 5. all profiles in one pass (P6), then one delivered table per service
     joined = tabulate.episodes_with_residence(extract, res_year, start, end)
-    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",))
+    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",), with_rows=True)
     all_profiles = _materialise(
         spark, tabulate.with_places(counts, place_dim), f"{work}/profiles", ["service"]
     )
@@ -112,7 +112,7 @@ def run(
 
     # 6. control table (P9), precheck
     svc = checks.service_list(spark, sources.services)
-    delivered["control"] = checks.control_table(extract, joined, all_profiles, svc)
+    delivered["control"] = checks.control_table(extract, all_profiles, svc)
     avt = cat.service("AVT")
     delivered["care_level_precheck"] = checks.care_level_precheck(
         sources.codes[avt.name], sources.stays[avt.name], avt, start, end

@@ -36,8 +36,8 @@ def test_empty_service_rows(spark):
 
     r = residence.residence_by_year(residence.cohort(e), src.residence)
     joined = tabulate.episodes_with_residence(e, r)
-    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",))
-    control = checks.control_table(e, joined, counts, svc)
+    counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",), with_rows=True)
+    control = checks.control_table(e, counts, svc)
     rows = {x["service"]: x.asDict() for x in control.collect()}
     assert rows["SOM"]["extract_rows"] == 1 and rows["SOM"]["output_rows"] == 1
     assert rows["SOM"]["rows_care_level_1"] == 1 and rows["SOM"]["rows_with_residence"] == 1
