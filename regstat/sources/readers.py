@@ -28,6 +28,12 @@ from regstat.sources.schemas import (
 )
 
 
+# String columns compared by equality in the statistics: right-trimmed once at
+# load, since the source database ignores trailing blanks in such comparisons.
+STAY_TRIM = ["person_id", "sex", "niva"]
+PERSON_TRIM = ["sex"]
+
+
 @dataclass
 class Sources:
     codes: dict[str, DataFrame]  # service name -> codes table
@@ -70,8 +76,8 @@ def read_sources(spark: SparkSession, root: str) -> Sources:
     stays = spark.read.parquet(f"{root}/stays")
     return Sources(
         codes=_by_service(codes, CODES),
-        stays=_by_service(stays, STAYS, ["person_id"]),
-        persons=normalise(spark.read.parquet(f"{root}/persons"), PERSONS),
+        stays=_by_service(stays, STAYS, STAY_TRIM),
+        persons=normalise(spark.read.parquet(f"{root}/persons"), PERSONS, PERSON_TRIM),
         residence=normalise(spark.read.parquet(f"{root}/residence"), RESIDENCE),
         places=spark.read.parquet(f"{root}/places"),
     )
@@ -111,8 +117,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     f = fixture_frames(spark, sf_dir)
     _FIXTURE_CACHE[key] = src = Sources(
         codes=_by_service(f["codes"], CODES),
-        stays=_by_service(f["stays"], STAYS, ["person_id"]),
-        persons=normalise(f["persons"], PERSONS),
+        stays=_by_service(f["stays"], STAYS, STAY_TRIM),
+        persons=normalise(f["persons"], PERSONS, PERSON_TRIM),
         residence=normalise(f["residence"], RESIDENCE),
         places=f["places"],
     )

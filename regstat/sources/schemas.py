@@ -104,9 +104,10 @@ def normalise(
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Rename columns to the schema's case, cast to the schema's types
-    (integers by ``try_cast`` so bad text becomes NULL), right-trim string
-    ids, and keep only the schema's columns (plus ``keep``). One projection,
-    built as SQL expressions in a single call; no job runs."""
+    (integers by ``try_cast`` so bad text becomes NULL), right-trim the
+    string columns listed in ``id_columns`` (ids and codes compared by
+    equality), and keep only the schema's columns (plus ``keep``). One
+    projection, built as SQL expressions in a single call; no job runs."""
     by_lower = {f.name.lower(): f.name for f in df.schema.fields}
     ids = {c.lower() for c in id_columns}
     out = [f"`{by_lower[k.lower()]}` AS `{k}`" for k in keep if k.lower() in by_lower]

@@ -153,3 +153,21 @@ def test_window_form_matches_on_literal_ties(spark):
     assert a.collect() == b.collect()
     r = a.first()
     assert (r["age"], r["home_municipality"], r["J44"], r["M00_M99"]) == (63, "0301", 1, 1)
+
+
+def test_trailing_blanks_in_compared_codes(spark):
+    from regstat.sources.readers import PERSON_TRIM, STAY_TRIM
+    from regstat.sources.schemas import PERSONS, STAYS, normalise
+
+    src = make_sources(
+        spark,
+        codes=[code("SOM", 1, 2014, "I219"), code("SOM", 2, 2014, "I219")],
+        stays=[stay("SOM", 1, 2014, "11 ", sex="2 ", niva="A"), stay("SOM", 2, 2014, "12", niva="S ")],
+        persons=[(11, 1950, None)],
+    )
+    stays = normalise(src.stays["SOM"], STAYS, STAY_TRIM)
+    persons = normalise(src.persons, PERSONS, PERSON_TRIM)
+    rows = episodes.episodes(src.codes["SOM"], stays, persons, SOM).collect()
+    assert [(r["episode_id"], r["person_id"], r["sex"], r["age"]) for r in rows] == [
+        ("SOM1", "11", cat.SEX_WOMEN, 64)
+    ]
