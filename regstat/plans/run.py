@@ -58,7 +58,13 @@ def run(
     end: int = cat.END_YEAR,
     run_date: str | None = None,
     csv: bool = True,
+    wide_residence: bool = False,
 ) -> RunResult:
+    """Run every step and write the delivered tables under
+    ``out/profiles_<start>_<end>_<run_date>``. The written extract and
+    residence tables are listed in ``RunResult.tables`` too (``extract``,
+    ``residence_by_year``); ``wide_residence`` also writes the 28-column
+    residence table (P4) next to the delivered ones."""
     run_date = run_date or _dt.date.today().isoformat()
     base = ensure_checkpoint_dir(spark) or f"{out.rstrip('/')}/_work"
     work = f"{base.rstrip('/')}/regstat-work-{uuid.uuid4().hex[:12]}"
@@ -130,6 +136,12 @@ def run(
     write_delivery(delivered, out_dir, csv=csv, orders=orders)
     mark("delivery")
     res.tables = {name: f"{out_dir}/{name}" for name in delivered}
+    res.tables["extract"] = f"{work}/extract"
+    res.tables["residence_by_year"] = f"{work}/residence_by_year"
+    if wide_residence:
+        wide = residence.residence_wide(residence.cohort(extract), sources.residence, start, end)
+        write_table(wide, f"{out_dir}/residence_wide")
+        res.tables["residence_wide"] = f"{out_dir}/residence_wide"
 
     control = spark.read.parquet(f"{out_dir}/control/parquet")
     res.empty_services = checks.warn_empty_services(control)  # A18
@@ -155,9 +167,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--end", type=int, default=cat.END_YEAR)
     ap.add_argument("--run-date", default=None)
     ap.add_argument("--no-csv", action="store_true")
+    ap.add_argument("--wide-residence", action="store_true", help="also write the 28-column residence table")
     a = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
-    r = run(spark, read_sources(spark, a.sources), a.out, a.start, a.end, a.run_date, not a.no_csv)
+    r = run(spark, read_sources(spark, a.sources), a.out, a.start, a.end, a.run_date,
+            not a.no_csv, a.wide_residence)
     print(json.dumps({"out": r.out_dir, "control": r.control, "stage_sec": r.stage_sec,
                       "empty_services": r.empty_services, "residence_rows": r.residence_rows},
                      default=str))

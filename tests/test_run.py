@@ -17,7 +17,10 @@ def test_stage_then_run(spark):
     root = tempfile.mkdtemp(prefix="regstat-test-", dir="/tmp")
     write_sources(fixture_frames(spark, SF_SMALL), f"{root}/sources")
     src = read_sources(spark, f"{root}/sources")
-    res = run(spark, src, f"{root}/out", run_date="2026-01-01")
+    res = run(spark, src, f"{root}/out", run_date="2026-01-01", wide_residence=True)
+    wide = spark.read.parquet(res.tables.pop("residence_wide"))
+    assert wide.count() == spark.read.parquet(res.tables.pop("extract")).select("person_id").distinct().count()
+    assert spark.read.parquet(res.tables.pop("residence_by_year")).count() == res.residence_rows
 
     checks = {"persons_per_service_year", "persons_per_service", "year_span", "sex_distribution",
               "care_level_distribution", "rule_violations", "residence_persons"}
