@@ -36,7 +36,7 @@ from regstat.sources.sinks import write_sources  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
 def _sf_of(path: str):
