@@ -3,12 +3,12 @@ their stay and the person dimension, and collapse to one row per stay.
 
 Plan (per service), all lazy:
 
-  codes --filter(selector, years, relevant code)--> flags
-        --groupBy(stay_key, year) max(flags)          partial agg before shuffle
-  stays --filter(id, years, care level[, rehab, level])
-  join on (stay_key, year)                            sort-merge (AQE may broadcast)
-  ---- union of the services (extract_all) ----
-  left join persons on person_id                      once for all services
+  codes --filter(selector, years, relevant code)--> flags     per service
+  stays --filter(id, years, care level[, rehab, level])       per service
+  ---- union of the services (extract_all), then once for all of them ----
+  codes: groupBy(service, stay_key, year) max(flags)  partial agg before shuffle
+  join on (service, stay_key, year)                   sort-merge (AQE may broadcast)
+  left join persons on person_id
   groupBy(service, stay_key) max(flags),
                              min(struct(pick))        one row per episode
 
@@ -157,24 +157,46 @@ def _pick_sql() -> str:
 
 
 def stay_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int, end: int, flags) -> DataFrame:
-    """The service-specific part of P1: code rows folded to one row per
-    (stay_key, year) (partial aggregation, whose shuffle is the join's),
-    joined to the valid stays. ``flags`` lists the output flag columns; those
-    the service does not have are NULL."""
-    own = spec.group_names
-    per_stay_year = marked_codes(codes, spec, start, end).groupBy("stay_key", "year").agg(
-        *[F.expr(f"max({g}) AS {g}") for g in own]
+    """The stay rows of one service (see ``stay_rows_all``)."""
+    return stay_rows_all({spec.name: codes}, {spec.name: stays}, [spec], start, end, flags)
+
+
+def stay_rows_all(codes: dict, stays: dict, specs, start: int, end: int, flags) -> DataFrame:
+    """The service-specific part of P1, for any number of services at once:
+    each service's relevant code rows (its own selector and groups) and
+    valid stays (its own filters) are unioned with a ``service`` column; the
+    code rows are folded to one row per (service, stay_key, year) with
+    partial aggregation, whose shuffle is the join's; then one join on
+    (service, stay_key, year). Two services may share a key space, so the
+    service is part of the key. ``flags`` lists the output flag columns;
+    those a service does not have are NULL."""
+    def coded(spec):
+        own = spec.group_names
+        return marked_codes(codes[spec.name], spec, start, end).selectExpr(
+            f"'{spec.name}' AS service",
+            "stay_key",
+            "year",
+            *[g if g in own else f"CAST(NULL AS INT) AS {g}" for g in flags],
+        )
+
+    def stayed(spec):
+        return _stay_side(stays[spec.name], spec, start, end).selectExpr(f"'{spec.name}' AS service", "*")
+
+    all_codes = reduce(lambda x, y: x.unionByName(y), [coded(sp) for sp in specs])
+    all_stays = reduce(lambda x, y: x.unionByName(y), [stayed(sp) for sp in specs])
+    per_stay_year = all_codes.groupBy("service", "stay_key", "year").agg(
+        *[F.expr(f"max({g}) AS {g}") for g in flags]
     )
-    j = per_stay_year.join(_stay_side(stays, spec, start, end), ["stay_key", "year"], "inner")
+    j = per_stay_year.join(all_stays, ["service", "stay_key", "year"], "inner")
     return j.selectExpr(
-        f"'{spec.name}' AS service",
+        "service",
         "stay_key",
         "year",
         "person_id",
         "stay_sex",
         "home_municipality",
         "care_level",
-        *[g if g in own else f"CAST(NULL AS INT) AS {g}" for g in flags],
+        *flags,
     )
 
 
@@ -252,13 +274,10 @@ def episodes_window(
 
 def extract_all(sources, start: int = cat.START_YEAR, end: int = cat.END_YEAR) -> DataFrame:
     """All services' episodes in one long DataFrame with a ``service`` column.
-    The per-service stay rows are unioned first, so the person dimension is
-    joined once and the collapse is one aggregate keyed by (service,
-    stay_key). Flags of groups a service does not have are NULL."""
+    The services' code rows and stays are unioned before the first shuffle,
+    so the code fold, the stay join, the person join and the collapse each
+    run once for all services. Flags of groups a service does not have are
+    NULL."""
     flags = list(cat.ALL_GROUP_NAMES)
-    parts = [
-        stay_rows(sources.codes[s.name], sources.stays[s.name], s, start, end, flags)
-        for s in sources.services
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    rows = stay_rows_all(sources.codes, sources.stays, sources.services, start, end, flags)
     return collapse(rows, sources.persons, flags).select(*EPISODE_COLUMNS, *flags)
