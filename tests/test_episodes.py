@@ -171,3 +171,19 @@ def test_trailing_blanks_in_compared_codes(spark):
     assert [(r["episode_id"], r["person_id"], r["sex"], r["age"]) for r in rows] == [
         ("SOM1", "11", cat.SEX_WOMEN, 64)
     ]
+
+
+def test_shared_key_space_stays_apart_across_services(spark):
+    """PHV and TSB draw stay keys from one key space: the same key and year in
+    both services are two episodes, with their own flags and persons."""
+    src = make_sources(
+        spark,
+        codes=[code("PHV", 5, 2014, "F100"), code("TSB", 5, 2014, "F329")],
+        stays=[stay("PHV", 5, 2014, "11"), stay("TSB", 5, 2014, "12")],
+        persons=[(11, 1950, "1"), (12, 1960, "2")],
+    )
+    rows = {r["episode_id"]: r.asDict() for r in episodes.extract_all(src).collect()}
+    assert set(rows) == {"PHV5", "TSB5"}
+    assert (rows["PHV5"]["person_id"], rows["PHV5"]["F10"], rows["PHV5"]["F30_F39"]) == ("11", 1, 0)
+    assert (rows["TSB5"]["person_id"], rows["TSB5"]["F10"], rows["TSB5"]["F30_F39"]) == ("12", 0, 1)
+    assert rows["PHV5"]["I00_I99"] is None  # a somatic group does not apply to PHV
