@@ -142,6 +142,34 @@ PROFILE_KEY_HEADERS = (
     ("age", "Alder"),
 )
 
+# Care-level precheck: status labels (values in the delivered table).
+STATUS_IN_EXTRACT = "Med i uttrekk"
+STATUS_NOT_IN_EXTRACT = "Ikke med i uttrekk"
+
+# Delivered control table and precheck: column -> header.
+CONTROL_HEADERS = (
+    ("service", "Tjeneste"),
+    ("extract_rows", "Rader_i_SQL_uttrekk"),
+    ("extract_persons", "Unike_personer_i_SQL_uttrekk"),
+    ("rows_care_level_1", "Rader_omsorgsniva_1"),
+    ("rows_care_level_2", "Rader_omsorgsniva_2"),
+    ("rows_with_residence", "Rader_etter_bosted"),
+    ("output_rows", "Rader_i_output"),
+    ("min_year", "Min_ar_output"),
+    ("max_year", "Max_ar_output"),
+)
+PRECHECK_HEADERS = (
+    ("care_level", "omsorgsniva"),
+    ("status", "filterstatus"),
+    ("n_code_rows", "n_koderader"),
+    ("n_stays", "n_opphold"),
+    ("n_persons", "n_pasienter"),
+)
+
+# Delivered table names (one per sheet of the delivery).
+CONTROL_TABLE_NAME = "Kontroll"
+PRECHECK_TABLE_NAME = "AVT_omsorgsniva"
+
 # Place dimension columns (all strings after load); the first is the key.
 PLACE_COLUMNS = (
     "kommunenr",

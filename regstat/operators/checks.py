@@ -18,8 +18,8 @@ from regstat.functions.scalar import care_level_ok, valid_person_id
 from regstat.operators.episodes import main_diagnosis_rows
 from regstat.functions.codes import cohort_predicate
 
-IN_EXTRACT = "in extract"
-NOT_IN_EXTRACT = "not in extract"
+IN_EXTRACT = cat.STATUS_IN_EXTRACT
+NOT_IN_EXTRACT = cat.STATUS_NOT_IN_EXTRACT
 
 
 class CareLevelError(RuntimeError):
@@ -40,7 +40,7 @@ def _precheck_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start:
 
 
 def filter_status(care_level) -> F.Column:
-    """Label; NULL goes to 'not in extract'."""
+    """Label; NULL goes to the not-in-extract label."""
     return F.when(care_level_ok(care_level), F.lit(IN_EXTRACT)).otherwise(F.lit(NOT_IN_EXTRACT))
 
 

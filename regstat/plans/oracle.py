@@ -405,7 +405,8 @@ LEFT JOIN places p ON p.kommunenr = c.municipality""",
         f"""
 SELECT care_level, status, count(*) AS n_code_rows, count(DISTINCT stay_key) AS n_stays,
        count(DISTINCT person_id) AS n_persons
-FROM (SELECT *, CASE WHEN care_level IN ({levels}) THEN 'in extract' ELSE 'not in extract' END AS status
+FROM (SELECT *, CASE WHEN care_level IN ({levels}) THEN {_q(cat.STATUS_IN_EXTRACT)}
+                      ELSE {_q(cat.STATUS_NOT_IN_EXTRACT)} END AS status
       FROM pre) t
 GROUP BY care_level, status""",
     )

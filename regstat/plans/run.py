@@ -45,6 +45,11 @@ class RunResult:
     stage_sec: dict[str, float] = field(default_factory=dict)
 
 
+def _headers(df: DataFrame, headers) -> DataFrame:
+    """Delivered column names (B23) for a check table."""
+    return df.select(*[F.col(src).alias(dst) for src, dst in headers])
+
+
 def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
     write_table(df, path, partition_by)
     return spark.read.parquet(path)
@@ -118,18 +123,21 @@ def run(
 
     # 6. control table (P9), precheck
     svc = checks.service_list(spark, sources.services)
-    delivered["control"] = checks.control_table(extract, all_profiles, svc)
+    control_name, precheck_name = cat.CONTROL_TABLE_NAME, cat.PRECHECK_TABLE_NAME
+    delivered[control_name] = _headers(checks.control_table(extract, all_profiles, svc), cat.CONTROL_HEADERS)
     avt = cat.service("AVT")
-    delivered["care_level_precheck"] = checks.care_level_precheck(
-        sources.codes[avt.name], sources.stays[avt.name], avt, start, end
+    delivered[precheck_name] = _headers(
+        checks.care_level_precheck(sources.codes[avt.name], sources.stays[avt.name], avt, start, end),
+        cat.PRECHECK_HEADERS,
     )
     quality = checks.quality_checks(spark, extract, sources.services)  # P8
     delivered.update({f"checks/{k}": v for k, v in quality.items()})
     labels = F.array(*[F.lit(s.label) for s in sources.services])
     profile_order = ["Bostedskommune", "Kjonn", F.col("Alder").asc_nulls_last()]
     orders = {s.label: profile_order for s in sources.services}
-    orders["control"] = [F.array_position(labels, F.col("service"))]
-    orders["care_level_precheck"] = [F.col("care_level").asc_nulls_last()]
+    service_header = dict(cat.CONTROL_HEADERS)["service"]
+    orders[control_name] = [F.array_position(labels, F.col(service_header))]
+    orders[precheck_name] = [F.col(dict(cat.PRECHECK_HEADERS)["care_level"]).asc_nulls_last()]
     orders["checks/persons_per_service_year"] = ["service", "year"]
     orders["checks/sex_distribution"] = ["service", "sex"]
     orders["checks/care_level_distribution"] = ["service", F.col("care_level").asc_nulls_last()]
@@ -143,9 +151,13 @@ def run(
         write_table(wide, f"{out_dir}/residence_wide")
         res.tables["residence_wide"] = f"{out_dir}/residence_wide"
 
-    control = spark.read.parquet(f"{out_dir}/control/parquet")
+    back = {h: c for c, h in cat.CONTROL_HEADERS}
+    control = spark.read.parquet(f"{out_dir}/{control_name}/parquet")
+    control = control.select(*[F.col(h).alias(back[h]) for h in back])
     res.empty_services = checks.warn_empty_services(control)  # A18
-    res.control = [r.asDict() for r in control.orderBy(orders["control"][0]).collect()]  # 1 row/service
+    res.control = [
+        r.asDict() for r in control.orderBy(F.array_position(labels, F.col("service"))).collect()
+    ]  # one row per service
     mark("control_readback")
     return res
 

@@ -57,7 +57,8 @@ def test_precheck_labels_and_null_last(spark):
     )
     rows = [r.asDict() for r in checks.care_level_precheck(src.codes["AVT"], src.stays["AVT"]).collect()]
     assert [r["care_level"] for r in rows] == [1, 2, 3, None]
-    assert [r["status"] for r in rows] == ["in extract", "in extract", "not in extract", "not in extract"]
+    yes, no = cat.STATUS_IN_EXTRACT, cat.STATUS_NOT_IN_EXTRACT
+    assert [r["status"] for r in rows] == [yes, yes, no, no]
     assert rows[0]["n_code_rows"] == 2 and rows[0]["n_stays"] == 1
     assert (rows[3]["n_stays"], rows[3]["n_persons"]) == (2, 1)
     tot = checks.included_totals(src.codes["AVT"], src.stays["AVT"]).first()

@@ -24,8 +24,12 @@ def test_stage_then_run(spark):
 
     checks = {"persons_per_service_year", "persons_per_service", "year_span", "sex_distribution",
               "care_level_distribution", "rule_violations", "residence_persons"}
-    assert set(res.tables) == ({s.label for s in cat.SERVICES} | {"control", "care_level_precheck"}
+    assert set(res.tables) == ({s.label for s in cat.SERVICES} | {cat.CONTROL_TABLE_NAME, cat.PRECHECK_TABLE_NAME}
                                | {f"checks/{c}" for c in checks})
+    kontroll = spark.read.parquet(res.tables[cat.CONTROL_TABLE_NAME] + "/parquet")
+    assert kontroll.columns == [h for _, h in cat.CONTROL_HEADERS]
+    pre = spark.read.parquet(res.tables[cat.PRECHECK_TABLE_NAME] + "/parquet")
+    assert pre.columns == [h for _, h in cat.PRECHECK_HEADERS]
     assert spark.read.parquet(res.tables["checks/rule_violations"] + "/parquet").count() == 0
     n = spark.read.parquet(res.tables["checks/persons_per_service"] + "/parquet").collect()
     assert len(n) == 5
