@@ -97,25 +97,31 @@ def main() -> None:
             place_dim,
         ),
     }
-    times: dict[str, float] = {}
-    for name, build in headline.items():
+    def best_of(action) -> float:
         best = None
-        for _ in range(REPEAT):
+        for i in range(REPEAT):
             t = time.time()
-            _noop(build())
+            action(i)
             d = time.time() - t
             best = d if best is None else min(best, d)
-        times[name] = round(best, 3)
-
-    best = None
-    for i in range(REPEAT):
-        t = time.time()
-        run(spark, src, f"{scratch}/out{i}", run_date="bench", csv=True)
-        d = time.time() - t
-        best = d if best is None else min(best, d)
-    times["whole_run"] = round(best, 3)
+        return round(best, 3)
 
-    headline_total = times["episodes"] + times["residence_by_year"] + times["profiles"] + times["whole_run"]
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+    for name, build in headline.items():
+        try:
+            times[name] = best_of(lambda _i, b=build: _noop(b()))
+        except Exception as e:  # record and go on: one failure must not hide the rest
+            times[name], errors[name] = None, f"{type(e).__name__}: {str(e)[:300]}"
+    try:
+        times["whole_run"] = best_of(
+            lambda i: run(spark, src, f"{scratch}/out{i}", run_date="bench", csv=True)
+        )
+    except Exception as e:
+        times["whole_run"], errors["whole_run"] = None, f"{type(e).__name__}: {str(e)[:300]}"
+
+    parts = [times[k] for k in ("episodes", "residence_by_year", "profiles", "whole_run")]
+    headline_total = sum(p for p in parts if p is not None)
     out = {
         "metric": "regstat_headline_total",
         "value": round(headline_total, 3),
@@ -127,6 +133,8 @@ def main() -> None:
         "repeat": REPEAT,
         "spark": spark.version,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
