@@ -106,3 +106,15 @@ def test_join_never_adds_rows(spark):
     b = {r["service"]: r["count"] for r in joined.groupBy("service").count().collect()}
     assert all(b.get(s, 0) <= a[s] for s in a)
     assert e.filter("care_level NOT IN (1, 2) OR care_level IS NULL").count() == 0
+
+
+def test_place_overrides_are_a_parameter(spark):
+    raw = spark.createDataFrame(
+        [("1534", "A", "1507", "B", "1", "F", "1", "F"), ("0220", "Asker", "0220", "Asker", "2", "G", "2", "G")],
+        ",".join(f"{c} string" for c in cat.PLACE_COLUMNS),
+    )
+    p = {r["kommunenr"]: r.asDict() for r in places.places(raw, overrides=(("0220", "3203", "Asker"),)).collect()}
+    assert (p["0220"]["kommunenrdagens"], p["0220"]["kommunenavndagens"]) == ("3203", "Asker")
+    assert p["1534"]["kommunenrdagens"] == "1507"  # default override not applied
+    none = {r["kommunenr"]: r["kommunenrdagens"] for r in places.places(raw, overrides=()).collect()}
+    assert none == {"1534": "1507", "0220": "0220"}
