@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regstat.llm import bpe, decontaminate, near_dups, quality_model, quality_rules, secrets
+from regstat.llm import bpe, decontaminate, near_dups, paragraph_dups, quality_model, quality_rules, secrets, token_blocks
 from regstat.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,12 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, freq = token_blocks.written_blocks(table(spark, sf_dir, "documents"), WORD_BPE)
+    found = token_blocks.read_documents(blocks, freq)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -81,6 +87,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_paragraph_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraph_dups.removals(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.expr("aggregate(removed, 0L, (s, r) -> s + r.n_words)").alias("n_removed_words"),
+        F.array_join(F.expr("transform(removed, r -> cast(r.line as string))"), ",").alias("removed_lines"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
     return coded.select(
@@ -96,7 +113,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_secret_scan": op3_secret_scan,
         "op4_quality_model": op4_quality_model,
+        "op5_token_blocks": op5_token_blocks,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
+        "op9_paragraph_dups": op9_paragraph_dups,
         "op10_bpe": op10_bpe,
     }
