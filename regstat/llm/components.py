@@ -15,13 +15,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     neighbours of a node meet only in a partial ``min`` and in joins, so a
     node with very many neighbours is never gathered in one task."""
     links = written(_ordered(edges), name)
-    while True:
-        larger = _tie(_both(links), "n > v")
-        smaller = written(_ordered(_tie(larger, "true")), name)
-        change = _ordered(larger).exceptAll(smaller).limit(1).count() + _differs(links, smaller)
-        links = smaller
-        if not change:
+    before = _digest(links)
+    while before[0]:
+        links = written(_ordered(_tie(_tie(_both(links), "n > v"), "true")), name)
+        now = _digest(links)
+        if now == before:
             break
+        before = now
     star = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return star.unionByName(roots).distinct()
@@ -50,10 +50,6 @@ def _tie(directed: DataFrame, keep: str) -> DataFrame:
     return tied.unionByName(own).where("a <> b").distinct()
 
 
-def _differs(one: DataFrame, two: DataFrame) -> int:
-    """Whether two tables of distinct edges differ, by count and hash sum."""
-
-    def digest(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    return int(digest(one) != digest(two))
+def _digest(edges: DataFrame) -> tuple:
+    """Number and hash sum of a table of distinct edges."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

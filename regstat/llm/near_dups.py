@@ -18,10 +18,12 @@ similarity 0.75 is, with probability 5e-6). The rest are confirmed on the full
 sets. First the pairs of a forest that spans each leaf's similar pairs; once
 these are confirmed, only pairs that still lie in different components.
 
-*Nodes that never get small* (thousands of near copies) are tied to pivots
-instead; then each document outside a node's largest component is compared
-with the members of all other components. So no pair is lost, and a group of
-near copies costs as many comparisons as it has members.
+*Nodes that never get small* (thousands of near copies) are tied to their
+medoid instead, the member nearest to what most members agree on: the text
+that the others were copied from, if it is there. Then each document outside
+a node's largest component is compared with the members of all other
+components. So no pair is lost, and a group of near copies costs about as
+many comparisons as it has members.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D after lower-casing A-Z;
 a text with fewer than five words is one shingle. Defined results: a null or
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm import common as c
@@ -50,8 +52,8 @@ LEVELS = 3
 MINS = 2 * TREES * LEVELS
 AGREE = 16
 LEAF = 64
-#: Rounds in which the members of large nodes are tied to pivots.
-PIVOT_ROUNDS = 2
+#: Rounds in which the members of large nodes are tied to a medoid.
+MEDOID_ROUNDS = 2
 
 _CODES = c.byte_codes(2)
 _MULTIPLY = c.mix(np.arange(1, MINS + 1, dtype=c.U64)) | c.U64(1)
@@ -147,25 +149,27 @@ def forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return i, j, spans
 
 
-def leaf_pairs(rows: DataFrame) -> DataFrame:
-    """Similar pairs ``a, b`` (a < b) of all leaves, ``spans`` if a leaf's
-    forest holds the pair. ``rows`` (``node, rep, sketch``) have at most
-    ``LEAF`` rows per node, so a node is never large."""
+def leaf_pairs(rows: DataFrame, every: bool = True) -> DataFrame:
+    """Similar pairs ``a, b`` (a < b) in leaves between different components:
+    ``every`` one, or a forest that spans them. ``rows`` have ``node, rep,
+    sketch, comp``; a leaf has at most ``LEAF`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compared(nodes: np.ndarray, reps: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
-            out: list[list[np.ndarray]] = [[], [], []]
+        def compared(nodes: np.ndarray, reps: np.ndarray, comps: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+            out: list[list[np.ndarray]] = [[], []]
             cuts = np.flatnonzero(np.diff(nodes)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(nodes)], strict=True):
                 if hi - lo < 2:
                     continue
-                s = sketch[lo:hi]
-                i, j, spans = forest((s[:, None, :] == s[None, :, :]).sum(axis=2))
-                a, b = reps[lo:hi][i], reps[lo:hi][j]
-                for column, values in zip(out, (np.minimum(a, b), np.maximum(a, b), spans), strict=True):
-                    column.append(values)
-            a, b, s = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(bool))], ["a", "b", "spans"])
+                s, comp = sketch[lo:hi], comps[lo:hi]
+                agree = (s[:, None, :] == s[None, :, :]).sum(axis=2)
+                i, j, spans = forest(np.where(comp[:, None] == comp[None, :], 0, agree))
+                keep = spans | every
+                a, b = reps[lo:hi][i[keep]], reps[lo:hi][j[keep]]
+                out[0].append(np.minimum(a, b))
+                out[1].append(np.maximum(a, b))
+            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         kept: list[np.ndarray] | None = None
         for batch in batches:
@@ -174,6 +178,7 @@ def leaf_pairs(rows: DataFrame) -> DataFrame:
             now = [
                 batch.column("node").to_numpy(),
                 batch.column("rep").to_numpy(),
+                batch.column("comp").to_numpy(),
                 np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, MINS),
             ]
             if kept is not None:
@@ -184,9 +189,8 @@ def leaf_pairs(rows: DataFrame) -> DataFrame:
         if kept is not None:
             yield compared(*kept)
 
-    dealt = rows.select("node", "rep", "sketch").repartition("node").sortWithinPartitions("node", "rep")
-    pairs = dealt.mapInArrow(run, "a long, b long, spans boolean")
-    return pairs.groupBy("a", "b").agg(F.max("spans").alias("spans"))
+    dealt = rows.select("node", "rep", "comp", "sketch").repartition("node").sortWithinPartitions("node", "rep")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -214,12 +218,6 @@ def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     raise AssertionError
 
 
-def agreement(x: str, y: str) -> str:
-    """SQL for the number of minimum hashes in which two sketches agree."""
-    bytes_of = f"transform(sequence(1, {MINS}), i -> int(substring({x}, i, 1) = substring({y}, i, 1)))"
-    return f"aggregate({bytes_of}, 0, (s, v) -> s + v)"
-
-
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
@@ -243,55 +241,79 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def in_components(rows: DataFrame, links: DataFrame, node: str, name: str) -> DataFrame:
-    """``rows`` with the component of ``node`` under the links so far."""
-    known = components(links).select(F.col("node").alias("__n"), "component")
-    return (
-        rows.join(known, F.col(node) == F.col("__n"), "left")
-        .withColumn(name, F.coalesce("component", node))
-        .drop("__n", "component")
-    )
+def in_components(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with ``comp``, the component of ``rep`` so far."""
+    known = found.select(F.col("node").alias("__rep"), "component")
+    joined = rows.join(known, F.col("rep") == F.col("__rep"), "left")
+    return joined.withColumn("comp", F.coalesce("component", "rep")).drop("__rep", "component")
 
 
-def unlinked(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    out = in_components(in_components(pairs, links, "a", "ca"), links, "b", "cb")
-    return out.where("ca <> cb").select("a", "b")
-
-
-def pivot_pairs(dense: DataFrame, links: DataFrame, turn: int) -> DataFrame:
-    """For each member of a large node, the pair with the best-agreeing pivot
-    of another component among the pivots of its nodes; every node and round
-    has its own pivot."""
-    rows = in_components(dense, links, "rep", "comp")
-    chosen = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node", "rep").alias("h"), "rep", "comp", "sketch")).alias("p"))
-    pairs = (
-        rows.join(chosen, "node")
-        .where("comp <> p.comp")
-        .select("rep", F.col("p.rep").alias("pivot"), F.expr(agreement("sketch", "p.sketch")).alias("n"))
-        .where(F.col("n") >= AGREE)
-        .groupBy("rep")
-        .agg(F.max(F.struct("n", "pivot")).alias("best"))
+def mixed(rows: DataFrame) -> DataFrame:
+    """The rows of nodes whose members lie in more than one component, with
+    ``main``, the largest of these."""
+    sizes = rows.groupBy("node", "comp").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
+    return rows.join(main.where("parts > 1").drop("parts"), "node")
+
+
+def agreement(x: str, y: str) -> str:
+    """SQL for the number of minimum hashes in which two sketches agree."""
+    return f"aggregate(sequence(1, {MINS}), 0, (n, i) -> n + int(substring({x}, i, 1) = substring({y}, i, 1)))"
+
+
+def medoid_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of each member of a large node with the medoid of its node, where
+    they agree often enough and lie in different components. The medoid is
+    taken among members outside the main component, if there are any."""
+    among = rows.where("comp <> main or comp = rep")
+    values = among.select("node", "sketch", F.explode(F.sequence(F.lit(1), F.lit(MINS))).alias("i")).select(
+        "node", "i", F.expr("int(conv(hex(substring(sketch, i, 1)), 16, 10))").alias("value")
+    )
+    most = values.groupBy("node", "i", "value").agg(F.count("*").alias("n"))
+    most = most.groupBy("node", "i").agg((F.max(F.col("n") * 256 + F.col("value")) % 256).alias("value"))
+    usual = most.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("usual"))
+    near = F.expr(
+        f"aggregate(sequence(1, {MINS}), 0, (n, i) -> n + "
+        "int(int(conv(hex(substring(sketch, i, 1)), 16, 10)) = usual[i - 1].value))"
+    )
+    medoid = (
+        among.join(usual, "node")
+        .groupBy("node")
+        .agg(F.max(F.struct(near.alias("n"), "rep", "comp", "sketch")).alias("p"))
+    )
+    pairs = rows.join(medoid, "node").where(
+        F.expr(f"comp <> p.comp and {agreement('sketch', 'p.sketch')} >= {AGREE}")
     )
-    return pairs.select(F.least("rep", "best.pivot").alias("a"), F.greatest("rep", "best.pivot").alias("b")).distinct()
+    return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
 
 
-def rest_pairs(dense: DataFrame, links: DataFrame) -> DataFrame:
-    """What the pivots left open: in each large node, the members outside its
-    largest component against the members of all other components."""
-    rows = in_components(dense, links, "rep", "comp")
-    sizes = rows.groupBy("node", "comp").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp")).alias("main"), F.count("*").alias("parts"))
-    mixed = rows.join(main.where("parts > 1"), "node")
-    outside = mixed.where("comp <> main.comp").select(
+def rest_pairs(rows: DataFrame) -> DataFrame:
+    """What the medoids left open: in each large node, the members outside
+    its main component against the members of all other components."""
+    outside = rows.where("comp <> main").select(
         "node", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("sketch").alias("sx")
     )
-    pairs = outside.join(mixed.select("node", "rep", "comp", "sketch"), "node").where(
+    pairs = outside.join(rows.select("node", "rep", "comp", "sketch"), "node").where(
         F.expr(f"cx <> comp and {agreement('sx', 'sketch')} >= {AGREE}")
     )
     return pairs.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
 
 
+def all_links(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links that give the components of all similar pairs: first
+    the forests' ``pairs``, then medoids and the rest of large nodes, then
+    what is open in leaves. Each step only sees nodes whose members still lie
+    in different components."""
+    links = c.written(confirmed(pairs, texts), "links0")
+    steps = [(medoid_pairs, dense)] * MEDOID_ROUNDS + [(rest_pairs, dense)] if dense.limit(1).count() else []
+    for i, (step, rows) in enumerate([*steps, (leaf_pairs, leaves)], 1):
+        open_rows = c.written(mixed(in_components(rows, components(links))), f"open{i}")
+        if open_rows.isEmpty():
+            continue
+        links = links.unionByName(c.written(confirmed(step(open_rows), texts), f"links{i}"))
+    return links
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     known = c.keyed(docs, id_col, text_col)
@@ -299,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = marks.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = marks.where("n_shingles > 0").join(classes, ["k1", "k2"]).where("doc_id = rep")
     leaves, dense = trees(reps.dropDuplicates(["rep", "k1", "k2"]).select("rep", "mins", "sketch"))
-    pairs = c.written(leaf_pairs(leaves), "pairs")
+    pairs = c.written(leaf_pairs(leaves.withColumn("comp", F.col("rep")), every=False), "pairs")
 
     live = (
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
@@ -308,15 +330,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     texts = c.written(known.join(live, "doc_id").dropDuplicates(["doc_id"]), "texts")
 
-    links = c.written(confirmed(pairs.where("spans"), texts), "links0")
-    stayed = dense.limit(1).count() > 0
-    steps = [lambda now, t=t: pivot_pairs(dense, now, t) for t in range(PIVOT_ROUNDS)] if stayed else []
-    steps.append(lambda now: unlinked(pairs.where("not spans"), now))
-    if stayed:
-        steps.append(lambda now: rest_pairs(dense, now))
-    for i, step in enumerate(steps, 1):
-        links = links.unionByName(c.written(confirmed(step(links), texts), f"links{i}"))
-
+    links = all_links(leaves, dense, pairs, texts)
     found = components(links).select(F.col("node").alias("rep"), "component")
     out = marks.join(classes, ["k1", "k2"], "left").join(found, "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
