@@ -113,7 +113,8 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        ids = batch.column("doc_id")
+        ids = np.array(ids.to_pylist(), object) if ids.null_count else ids.to_numpy(zero_copy_only=False)
         text = batch.column("text")
         wide = pa.types.is_large_string(text.type)
         at = np.frombuffer(text.buffers()[1], np.int64 if wide else np.int32)[text.offset : text.offset + len(text) + 1]

@@ -111,7 +111,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             first = mins[:, : 2 * TREES].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(block.ids),
+                    pa.array(block.ids, pa.int64()),
                     pa.array(n),
                     pa.array(k1),
                     pa.array(k2),

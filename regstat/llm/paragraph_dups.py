@@ -62,7 +62,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in c.blocks(batches):
             found = lines_of(block)
-            ids = np.array([block.ids[f[0]] for f in found], np.int64)
+            ids = np.array([block.ids[f[0]] for f in found], object)
             edges = np.array([f[2:4] for f in found], np.int64).reshape(-1, 2)
             at = np.concatenate([[0], np.cumsum(edges[:, 1] - edges[:, 0])])
             buf = np.concatenate([block.buf[a:b] for a, b in edges.tolist()]) if len(edges) else block.buf[:0]
@@ -74,7 +74,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             key = np.array([c.mix(s).sum(dtype=c.U64) for s in sets], c.U64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids),
+                    pa.array(ids, pa.int64()),
                     pa.array([f[1] for f in found], pa.int32()),
                     pa.array([f[4] for f in found], pa.int32()),
                     pa.array(key.view(np.int64)),

@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label_col: st
         for block in c.blocks(batches):
             x = pooled(block, vectors)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block.ids), c.lists(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())], ["doc_id", "x"]
+                [pa.array(block.ids, pa.int64()), c.lists(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())], ["doc_id", "x"]
             )
 
     chosen = docs.join(F.broadcast(usable), "doc_id")  # at most MAX_TRAIN labels

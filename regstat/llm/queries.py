@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regstat.llm import bpe, decontaminate, near_dups, paragraph_dups, quality_model, quality_rules, secrets, token_blocks
+from regstat.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    near_dups,
+    paragraph_dups,
+    quality_model,
+    quality_rules,
+    secrets,
+    substring_dups,
+    token_blocks,
+)
 from regstat.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +29,17 @@ KEEP_SCORE = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dups.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -58,6 +80,16 @@ def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_paragraphs"),
+        F.array_join(F.expr("array_sort(array_distinct(transform(found, x -> x.family)))"), ",").alias("families"),
+        F.array_join(F.expr("transform(found, x -> cast(x.at as string))"), ",").alias("lines"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -110,10 +142,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_secret_scan": op3_secret_scan,
         "op4_quality_model": op4_quality_model,
         "op5_token_blocks": op5_token_blocks,
+        "op6_license_scan": op6_license_scan,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
         "op9_paragraph_dups": op9_paragraph_dups,
