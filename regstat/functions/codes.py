@@ -21,10 +21,20 @@ def _lit(s: str) -> str:
 
 
 def _rule_sql(code: str, rule: PrefixRange | PrefixSet) -> str:
-    p = f"substring({code}, 1, {rule.width})"
     if isinstance(rule, PrefixRange):
-        return f"({p} BETWEEN {_lit(rule.lo)} AND {_lit(rule.hi)})"
-    return f"({p} IN ({', '.join(_lit(v) for v in rule.values)}))"
+        spans = [(rule.lo, rule.hi)]
+    else:
+        spans = [(v, v) for v in rule.values]
+    if any(len(hi) != rule.width for _, hi in spans):
+        raise ValueError(f"upper bounds of {rule} must have the rule's width")
+    return "(" + " OR ".join(f"({code} >= {_lit(lo)} AND {code} < {_lit(_next(hi))})" for lo, hi in spans) + ")"
+
+
+def _next(prefix: str) -> str:
+    """The least string above every string that starts with ``prefix``. A
+    comparison with it is a plain column predicate, so parquet skips row
+    groups by it; ``substring(code, 1, n) <= prefix`` is the same test."""
+    return prefix[:-1] + chr(ord(prefix[-1]) + 1)
 
 
 def group_predicate_sql(code: str, group: CodeGroup) -> str:

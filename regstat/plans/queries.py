@@ -139,7 +139,7 @@ def cohort_persons(spark, sf_dir):
 def residence_by_year(spark, sf_dir):
     """Long form by explode over touched years."""
     src, e = _extract(spark, sf_dir)
-    return residence.residence_by_year(residence.cohort(e), src.residence)
+    return residence.residence_by_year(e.select("person_id"), src.residence)
 
 
 def residence_wide(spark, sf_dir):
@@ -167,7 +167,7 @@ def places_duplicates(spark, sf_dir):
 def episodes_with_residence(spark, sf_dir):
     """D4 over all services."""
     src, e = _extract(spark, sf_dir)
-    r = residence.residence_by_year(residence.cohort(e), src.residence)
+    r = residence.residence_by_year(e.select("person_id"), src.residence)
     return tabulate.episodes_with_residence(e, r)
 
 
@@ -177,7 +177,7 @@ def _profile_query(name: str) -> Callable:
     def q(spark, sf_dir):
         src = fixture_sources(spark, sf_dir)
         e = episodes.episodes(src.codes[spec.name], src.stays[spec.name], src.persons, spec)
-        r = residence.residence_by_year(residence.cohort(e), src.residence)
+        r = residence.residence_by_year(e.select("person_id"), src.residence)
         return tabulate.profile(e, r, places.places(src.places), spec)
 
     q.__doc__ = f"P6 / E12 / D5: delivered profile table of {spec.label}"
@@ -187,7 +187,7 @@ def _profile_query(name: str) -> Callable:
 def profiles_all_services(spark, sf_dir):
     """All five profile tables in one pass (service column, all groups)."""
     src, e = _extract(spark, sf_dir)
-    r = residence.residence_by_year(residence.cohort(e), src.residence)
+    r = residence.residence_by_year(e.select("person_id"), src.residence)
     return tabulate.profiles_all(e, r, places.places(src.places))
 
 
@@ -261,7 +261,7 @@ def residence_preview(spark, sf_dir):
 def control_table(spark, sf_dir):
     """P9 / E13-E15."""
     src, e = _extract(spark, sf_dir)
-    r = residence.residence_by_year(residence.cohort(e), src.residence)
+    r = residence.residence_by_year(e.select("person_id"), src.residence)
     joined = tabulate.episodes_with_residence(e, r)
     counts = tabulate.profile_counts(joined, cat.ALL_GROUP_NAMES, extra_keys=("service",), with_rows=True)
     return checks.control_table(e, counts, checks.service_list(spark))

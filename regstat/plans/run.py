@@ -10,8 +10,7 @@ Stages and what crosses them:
   6. control table, precheck           small aggregates, written
 
 Intermediate tables live under the shared checkpoint folder the cluster
-names in ``spark.checkpoint.dir`` (a fresh scratch folder only when unset, as
-in tests). Reading them back cuts lineage: a lost executor recomputes at most
+names in ``spark.checkpoint.dir``, or under the output folder when unset. Reading them back cuts lineage: a lost executor recomputes at most
 one stage from a written table, never the whole run.
 """
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
 from regstat.operators import checks, episodes, places, residence, tabulate
-from regstat.session import ensure_checkpoint_dir
+from regstat.session import apply_recommended, configured_checkpoint_dir
 from regstat.sources.readers import Sources
 from regstat.sources.schemas import require_columns
 from regstat.sources.sinks import write_delivery, write_table
@@ -51,8 +50,10 @@ def _headers(df: DataFrame, headers) -> DataFrame:
 
 
 def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
+    """Written and read back under its own schema: a partitioned table
+    without rows leaves no file to infer one from."""
     write_table(df, path, partition_by)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def run(
@@ -71,7 +72,7 @@ def run(
     ``residence_by_year``); ``wide_residence`` also writes the 28-column
     residence table (P4) next to the delivered ones."""
     run_date = run_date or _dt.date.today().isoformat()
-    base = ensure_checkpoint_dir(spark) or f"{out.rstrip('/')}/_work"
+    base = configured_checkpoint_dir(spark) or f"{out.rstrip('/')}/_work"
     work = f"{base.rstrip('/')}/regstat-work-{uuid.uuid4().hex[:12]}"
     out_dir = f"{out.rstrip('/')}/profiles_{start}_{end}_{run_date}"
     res = RunResult(out_dir=out_dir, work_dir=work)
@@ -98,7 +99,9 @@ def run(
     # 4. residence for the cohort
     res_year = _materialise(
         spark,
-        residence.residence_by_year(residence.cohort(extract), sources.residence, start, end),
+        # plain ids: a semi join needs no distinct right side, and without an
+        # aggregate there AQE can split a hot person
+        residence.residence_by_year(extract.select("person_id"), sources.residence, start, end),
         f"{work}/residence_by_year",
     )
 
@@ -164,12 +167,10 @@ def run(
 
 def main(argv: list[str] | None = None) -> int:
     """Command line: ``python -m regstat.plans.run --sources ROOT --out DIR``.
-    Uses the active session when one exists (cluster submit), else a local
-    one."""
+    Uses the session it is submitted to, and sets only what that leaves unset."""
     import argparse
     import json
 
-    from regstat.session import local_session
     from regstat.sources.readers import read_sources
 
     ap = argparse.ArgumentParser(description="Register profile statistics, whole run")
@@ -181,7 +182,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--no-csv", action="store_true")
     ap.add_argument("--wide-residence", action="store_true", help="also write the 28-column residence table")
     a = ap.parse_args(argv)
-    spark = SparkSession.getActiveSession() or local_session()
+    spark = SparkSession.builder.getOrCreate()  # the submitted session: its master and settings
+    apply_recommended(spark)
     r = run(spark, read_sources(spark, a.sources), a.out, a.start, a.end, a.run_date,
             not a.no_csv, a.wide_residence)
     print(json.dumps({"out": r.out_dir, "control": r.control, "stage_sec": r.stage_sec,

@@ -73,6 +73,24 @@ def _context(spark: SparkSession):
         return None
 
 
+def apply_recommended(spark: SparkSession) -> None:
+    """Set the ``RECOMMENDED`` values that can change at run time and that
+    the session does not set itself."""
+    sc = _context(spark)
+    given = dict(sc.getConf().getAll()) if sc is not None else {}
+    for key, value in RECOMMENDED.items():
+        if key not in given and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder named in ``spark.checkpoint.dir``, if any."""
+    sc = _context(spark)
+    if sc is None:
+        return ensure_checkpoint_dir(spark)
+    return sc.getConf().get("spark.checkpoint.dir", None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local tests) a fresh

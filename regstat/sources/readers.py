@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from regstat.sources.schemas import (
     RESIDENCE,
     STAYS,
     normalise,
+    read_columns,
     require_columns,
 )
 
@@ -74,6 +76,7 @@ def read_sources(spark: SparkSession, root: str) -> Sources:
     root = root.rstrip("/")
     codes = spark.read.parquet(f"{root}/codes")
     stays = spark.read.parquet(f"{root}/stays")
+    require_staged_columns(spark, root)
     return Sources(
         codes=_by_service(codes, CODES),
         stays=_by_service(stays, STAYS, STAY_TRIM),
@@ -83,6 +86,22 @@ def read_sources(spark: SparkSession, root: str) -> Sources:
     )
 
 
+def require_staged_columns(spark: SparkSession, root: str) -> None:
+    """Fail (50001) if the files of a service lack a column that the service
+    reads, before ``normalise`` would fill it with NULL. Each service's own
+    directory is asked for its schema; one without a directory has no rows.
+    Only file footers are read."""
+    for spec in cat.SERVICES:
+        for kind, columns in read_columns(spec).items():
+            try:
+                raw = spark.read.parquet(f"{root}/{kind}/service={spec.name}")
+            except AnalysisException as e:
+                if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    continue
+                raise
+            require_columns({f"{spec.name}.{kind}": raw}, columns, 50001)
+
+
 def fixture_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five register inputs derived from the driver tables, with a
     ``service`` column on codes and stays."""

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from regstat.catalogue import ServiceSpec
 
 S, I, L, D = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
@@ -64,6 +65,17 @@ class MissingColumnError(RuntimeError):
         super().__init__(f"[{code}] required column(s) missing: {where}")
 
 
+def read_columns(spec: ServiceSpec) -> dict[str, list[str]]:
+    """The columns that a service's selector, filters and extract read, by
+    source kind."""
+    selector = ["code_type", "code_no"] if spec.selector.kind == "type" else ["axis", "condition"]
+    somatic = ["is_rehab", "niva"] if spec.somatic_stay_filter else []
+    return {
+        "codes": ["stay_key", "year", "code", *selector],
+        "stays": ["stay_key", "year", "person_id", "sex", "home_municipality", "care_level", *somatic],
+    }
+
+
 def _lower_names(df: DataFrame) -> set[str]:
     return {f.name.lower() for f in df.schema.fields}
 

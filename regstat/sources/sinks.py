@@ -44,30 +44,28 @@ def write_sources(frames: dict[str, DataFrame], root: str) -> None:
 
 
 def _deliver_one(name: str, df: DataFrame, out: str, csv: bool, order: list) -> None:
-    part = ["Ar"] if "Ar" in df.columns else None
     pq = f"{out}/{name}/parquet"
-    if part:
-        # one sorted file per year: a year of a delivered table is bounded by
-        # its cells (municipalities x sexes x ages), not by register volume
-        df = df.repartition(*part)
-    # the partition column leads the order, so the writer keeps ours
-    write_table(df, pq, part, sort_within=[*part, *order] if part else None)
+    by_year = "Ar" in df.columns
+    # no partitionBy: the year stays the first column inside the files, and a
+    # table without rows still leaves a file with its header
+    write_table(_by_year(df, order) if by_year else df, pq)
     if not csv:
         return
-    back = df.sparkSession.read.parquet(pq)
-    if part:
-        write_table(
-            back.select(*df.columns).repartition(*part),
-            f"{out}/{name}/csv",
-            part,
-            "csv",
-            sort_within=[*part, *order],
-        )
+    back = df.sparkSession.read.schema(df.schema).parquet(pq)
+    if by_year:
+        write_table(_by_year(back, order), f"{out}/{name}/csv", None, "csv")
     else:
         small = back.orderBy(*order) if order else back
         write_table(small.coalesce(1), f"{out}/{name}/csv", None, "csv")
 
 
+def _by_year(df: DataFrame, order: list) -> DataFrame:
+    """Whole years per file, sorted within: a year of a delivered table is
+    bounded by its cells (municipalities x sexes x ages), not by register
+    volume."""
+    return df.repartitionByRange("Ar").sortWithinPartitions("Ar", *order)
+
+
 def write_delivery(
     tables: dict[str, DataFrame],
     out: str,
@@ -76,9 +74,9 @@ def write_delivery(
     parallel: int = 4,
 ) -> None:
     """One directory per table. Parquet is written once (profile tables
-    partitioned by year, ``Ar``); the CSV copy with a header row is made from
-    the written parquet, not by recomputing the plan. Profile CSVs stay
-    partitioned by year and sorted within each file, so no single task
+    in whole years, ``Ar`` first); the CSV copy with a header row is made from
+    the written parquet, not by recomputing the plan. Profile CSVs hold
+    whole years, sorted within each file, so no single task
     writes a whole table; the small check tables are one sorted file each.
 
     The tables are independent, so up to ``parallel`` of them are written

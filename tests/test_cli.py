@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
 import tempfile
 
+import pyspark
 from conftest import SF_SMALL
 
 from regstat.plans import run as run_mod
@@ -24,3 +28,29 @@ def test_cli_and_plan_summary(spark, capsys):
     src = read_sources(spark, f"{root}/sources")
     text = summary(src.codes["SOM"].filter("code_type = 6").groupBy("stay_key").count())
     assert "exchanges: 1" in text and "PushedFilters" in text and "PartitionFilters" in text
+
+
+def test_submitted_session_keeps_master_and_settings(spark):
+    root = tempfile.mkdtemp(prefix="regstat-submit-", dir="/tmp")
+    write_sources(fixture_frames(spark, SF_SMALL), f"{root}/sources")
+    job = f"""
+import json
+from regstat.plans import run
+run.main(["--sources", "{root}/sources", "--out", "{root}/out", "--run-date", "x", "--no-csv"])
+from pyspark.sql import SparkSession
+s = SparkSession.getActiveSession()
+keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.forceOptimizeSkewedJoin"]
+print(json.dumps([s.sparkContext.master, *[s.conf.get(k) for k in keys]]))
+"""
+    with open(f"{root}/job.py", "w") as f:
+        f.write(job)
+    os.mkdir(f"{root}/shared")
+    conf = {"spark.sql.shuffle.partitions": "7", "spark.ui.enabled": "false", "spark.checkpoint.dir": f"{root}/shared"}
+    args = [x for k, v in conf.items() for x in ("--conf", f"{k}={v}")]
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_GATEWAY_PORT"} | {"PYTHONPATH": repo, "PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([submit, "--master", "local[2]", *args, f"{root}/job.py"], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert json.loads(done.stdout.strip().splitlines()[-1]) == ["local[2]", "7", "true"]
+    assert any(x.startswith("regstat-work-") for x in os.listdir(f"{root}/shared"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
 from conftest import SF_SMALL
 
 from regstat import catalogue as cat
 from regstat.plans.run import run
-from regstat.sources.readers import fixture_frames, read_sources
+from regstat.sources.readers import STAY_TRIM, PERSON_TRIM, Sources, _by_service, fixture_frames, read_sources
+from regstat.sources.schemas import CODES, PERSONS, RESIDENCE, STAYS, MissingColumnError, normalise
 from regstat.sources.sinks import write_sources
 
 
@@ -42,18 +44,67 @@ def test_stage_then_run(spark):
     assert control["SOM"]["extract_rows"] == 78
     assert res.duplicate_places == 1
 
-    # one sorted file per year: municipality, sex, age (unknown age last)
+    # whole years per file, sorted: municipality, sex, age (unknown age last)
     import csv
     import glob
 
-    files = sorted(glob.glob(res.tables["SOM"] + "/csv/Ar=*/*.csv"))
+    files = sorted(glob.glob(res.tables["SOM"] + "/csv/*.csv"))
     assert files
+    seen = []
     for f in files:
-        rows = list(csv.reader(open(f)))[1:]
-        key = [(r[0], r[8], int(r[9]) if r[9] else 10**9) for r in rows]
+        header, *rows = list(csv.reader(open(f)))
+        assert header[:2] == ["Ar", "Bostedskommune"]
+        key = [(int(r[0]), r[1], r[9], int(r[10]) if r[10] else 10**9) for r in rows]
         assert key == sorted(key)
-    assert all(len(glob.glob(d + "/*.csv")) == 1 for d in glob.glob(res.tables["SOM"] + "/csv/Ar=*"))
+        seen += {r[0] for r in rows}
+    assert len(seen) == len(set(seen))  # a year is never split over files
+    assert spark.read.parquet(res.tables["SOM"] + "/parquet").columns == header
 
     # the staged layout prunes by service directory and pushes the selector
     plan = src.codes["SOM"].filter("code_type = 6")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "service" in plan
+
+
+@pytest.mark.parametrize("csv", [True, False])
+@pytest.mark.parametrize("filled", [("SOM",), ()])
+def test_empty_services(spark, csv, filled):
+    root = tempfile.mkdtemp(prefix="regstat-empty-", dir="/tmp")
+    frames = fixture_frames(spark, SF_SMALL)
+    for name in ("codes", "stays"):
+        frames[name] = frames[name].filter(frames[name].service.isin(*filled) if filled else "false")
+    src = Sources(
+        codes=_by_service(frames["codes"], CODES),
+        stays=_by_service(frames["stays"], STAYS, STAY_TRIM),
+        persons=normalise(frames["persons"], PERSONS, PERSON_TRIM),
+        residence=normalise(frames["residence"], RESIDENCE),
+        places=frames["places"],
+    )
+    res = run(spark, src, f"{root}/out", run_date="x", csv=csv)
+    assert set(res.empty_services) == {s.label for s in cat.SERVICES} - {cat.service(f).label for f in filled}
+    for s in cat.SERVICES:
+        back = spark.read.parquet(f"{res.tables[s.label]}/parquet")
+        assert back.columns[0] == "Ar"
+        assert (back.count() > 0) == (s.name in filled)
+        if csv:
+            assert spark.read.option("header", True).csv(f"{res.tables[s.label]}/csv").columns == back.columns
+    for row in res.control:
+        if row["service"] in res.empty_services:
+            assert row["extract_rows"] == row["output_rows"] == 0 and row["min_year"] is None
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    assert res.work_dir.startswith(f"{shared or root + '/out'}/")
+
+
+def test_a_source_without_a_needed_column_is_refused(spark):
+    root = tempfile.mkdtemp(prefix="regstat-cols-", dir="/tmp")
+    frames = fixture_frames(spark, SF_SMALL)
+    write_sources({**frames, "stays": frames["stays"].drop("care_level")}, f"{root}/all")
+    with pytest.raises(MissingColumnError, match="50001.*care_level"):
+        read_sources(spark, f"{root}/all")
+    write_sources(frames, f"{root}/one")
+    phv = spark.read.parquet(f"{root}/one/stays/service=PHV")
+    phv.drop("care_level").write.partitionBy("year").parquet(f"{root}/phv")
+    phv_path = f"{root}/one/stays/service=PHV"
+    os.rename(phv_path, f"{root}/full")
+    os.rename(f"{root}/phv", phv_path)
+    with pytest.raises(MissingColumnError, match="PHV.stays.care_level"):
+        read_sources(spark, f"{root}/one")
