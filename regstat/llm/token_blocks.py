@@ -149,7 +149,7 @@ class Coder:
             q = state // f
             state = (q << c.U64(SCALE_BITS)) + (state - q * f) + b
             if r % CHECKPOINT == 0:
-                marks.append(np.concatenate([[r, written], state]).astype(c.U64))
+                marks.append(np.concatenate([np.array([r, written], c.U64), state]))
         stream = np.concatenate(out)[::-1] if out else np.zeros(0, np.uint32)
         for m in marks:  # from the end of the stream to its start
             m[1] = written - m[1]
