@@ -32,8 +32,8 @@ from tokenizers import Tokenizer
 
 from regstat.llm import common as c
 
-LANES = 512
-BLOCK_IDS = 1 << 17
+LANES = 1024
+BLOCK_IDS = 1 << 18
 CHECKPOINT = 64
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
@@ -79,7 +79,7 @@ class Runs:
         if len(self.young) >= TABLE_RUNS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        runs: list[list[str] | None] = []
+        runs: list[tuple[list[str], list[bytes | None]] | None] = []
         unknown: dict[str, list[str]] = {}
         pieces: dict[str, None] = {}
         for text in texts:
@@ -91,12 +91,17 @@ class Runs:
                     text = unicodedata.normalize("NFC", text)
                 text = text.replace("Σ", "σ")
             words = text.lower().split()
-            runs.append(words)
-            for w in set(words).difference(young):
+            found = list(map(young.get, words))
+            runs.append((words, found))
+            if None not in found:
+                continue
+            for w, f in zip(words, found, strict=True):
+                if f is not None or w in young or w in unknown:
+                    continue
                 known = old.get(w)
                 if known is not None:
                     young[w] = known
-                elif w not in unknown:
+                else:
                     parts = unknown[w] = [w] if w.isalpha() else _PIECE.findall(w)
                     pieces.update(dict.fromkeys(p for p in parts if p not in young))
         if pieces:
@@ -104,12 +109,16 @@ class Runs:
         for w, parts in unknown.items():
             if w not in young:
                 young[w] = b"".join([young[p] for p in parts])
-        return [
-            np.frombuffer(b"".join(map(young.__getitem__, words)), np.int32)
-            if words is not None
-            else np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-            for text, words in zip(texts, runs, strict=True)
-        ]
+        out = []
+        for text, run in zip(texts, runs, strict=True):
+            if run is None:
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32))
+                continue
+            words, found = run
+            if None in found:
+                found = [young[w] if f is None else f for w, f in zip(words, found, strict=True)]
+            out.append(np.frombuffer(b"".join(found), np.int32))
+        return out
 
 
 @lru_cache(maxsize=2)
