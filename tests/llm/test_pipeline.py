@@ -14,7 +14,7 @@ def test_stages_take_effect(spark, tmp_path):
     prose = [" ".join(rng.choice(vocab) for _ in range(60)) for _ in range(80)]
     shout = [" ".join(w.upper() + "!!" for w in p.split()) for p in prose[:40]]
     item = " ".join(prose[7].split()[10:25])
-    texts = [*prose, *shout, prose[3], prose[5] + " password=abcdefgh9", prose[9][:20] + " secret: zzzzzzzz " + prose[11]]
+    texts = [*prose, *shout, prose[3], prose[5] + " password=abcdefgh9", " ".join(reversed(prose[11].split())) + " secret: zzzzzzzz"]
     rows = [(i, t, "en", "s", len(t), "extra") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, __id string")
     labels = spark.createDataFrame([(i, int(i < 80), 0) for i in range(120)], "doc_id long, quality int, toxic int")
