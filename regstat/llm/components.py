@@ -10,21 +10,23 @@ from regstat.llm.common import written
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node, component`` (the smallest node reachable) for the nodes of
-    ``edges`` (``a, b``). Alternates two steps until nothing changes: larger
-    neighbours are tied to the smallest one, then smaller neighbours are. The
-    neighbours of a node meet only in a partial ``min`` and in joins, so a
-    node with very many neighbours is never gathered in one task."""
+    ``edges`` (``a, b``). Alternates two steps until only stars are left:
+    larger neighbours are tied to the smallest one, then smaller neighbours
+    are. The neighbours of a node meet only in a partial ``min`` and in joins,
+    so a node with very many neighbours is never gathered in one task."""
     links = written(_ordered(edges), name)
-    before = _digest(links)
-    while before[0]:
+    while not _only_stars(links):
         links = written(_ordered(_tie(_tie(_both(links), "n > v"), "true")), name)
-        now = _digest(links)
-        if now == before:
-            break
-        before = now
     star = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = links.select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return star.unionByName(roots).distinct()
+    roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return star.unionByName(roots)
+
+
+def extended(found: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """The components ``found`` so far, with further links. The stars found
+    stand for all earlier links."""
+    known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(known.unionByName(links.select("a", "b")), name)
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -47,9 +49,13 @@ def _tie(directed: DataFrame, keep: str) -> DataFrame:
         .select(F.col("n").alias("a"), F.col("m").alias("b"))
     )
     own = least.select("a", F.col("m").alias("b"))
-    return tied.unionByName(own).where("a <> b").distinct()
+    return tied.unionByName(own).where("a <> b")
 
 
-def _digest(edges: DataFrame) -> tuple:
-    """Number and hash sum of a table of distinct edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge, to a node that has none."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    seen = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up + down > 1").agg(F.count("*")).first()[0] == 0

@@ -19,10 +19,10 @@ sets. First the pairs of a forest that spans each leaf's similar pairs; once
 these are confirmed, only pairs that still lie in different components.
 
 *Nodes that never get small* (thousands of near copies) are tied to their
-medoid instead, the member nearest to what most members agree on: the text
-that the others were copied from, if it is there. Then each document outside
-a node's largest component is compared with the members of all other
-components. So no pair is lost, and a group of near copies costs about as
+medoid instead, along with the forests: the member nearest to what most
+members agree on, the text that the others were copied from, if it is there.
+At the end each document outside a node's largest component is compared with
+the members of all other components. So no pair is lost, and a group of near copies costs about as
 many comparisons as it has members.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D after lower-casing A-Z;
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm import common as c
-from regstat.llm.components import components
+from regstat.llm.components import components, extended
 
 SHINGLE = 5
 #: Pairs with PER_CENT * union <= 100 * intersection are linked.
@@ -52,6 +52,8 @@ LEVELS = 3
 MINS = 2 * TREES * LEVELS
 AGREE = 16
 LEAF = 64
+#: Members of a large node that one task compares with those outside.
+SLICE = 512
 #: Rounds in which the members of large nodes are tied to a medoid.
 MEDOID_ROUNDS = 2
 
@@ -126,12 +128,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i < j) of a leaf that agree often enough, and whether each is in
-    a forest of the best-agreeing ones that spans them."""
+def forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i < j) of a leaf in a forest that spans those that agree often
+    enough, by the best-agreeing ones."""
     i, j = np.nonzero(np.triu(agree >= AGREE, 1))
     order = np.argsort(-agree[i, j], kind="stable")
-    i, j = i[order], j[order]
     root = list(range(len(agree)))
 
     def top(x: int) -> int:
@@ -140,13 +141,13 @@ def forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             x = root[x]
         return x
 
-    spans = np.zeros(len(i), bool)
-    for n, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+    kept = []
+    for n, a, b in zip(order.tolist(), i[order].tolist(), j[order].tolist(), strict=True):
         ra, rb = top(a), top(b)
         if ra != rb:
             root[ra] = rb
-            spans[n] = True
-    return i, j, spans
+            kept.append(n)
+    return i[kept], j[kept]
 
 
 def leaf_pairs(rows: DataFrame, every: bool = True) -> DataFrame:
@@ -163,9 +164,9 @@ def leaf_pairs(rows: DataFrame, every: bool = True) -> DataFrame:
                     continue
                 s, comp = sketch[lo:hi], comps[lo:hi]
                 agree = (s[:, None, :] == s[None, :, :]).sum(axis=2)
-                i, j, spans = forest(np.where(comp[:, None] == comp[None, :], 0, agree))
-                keep = spans | every
-                a, b = reps[lo:hi][i[keep]], reps[lo:hi][j[keep]]
+                agree = np.where(comp[:, None] == comp[None, :], 0, agree)
+                i, j = np.nonzero(np.triu(agree >= AGREE, 1)) if every else forest(agree)
+                a, b = reps[lo:hi][i], reps[lo:hi][j]
                 out[0].append(np.minimum(a, b))
                 out[1].append(np.maximum(a, b))
             a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
@@ -218,25 +219,31 @@ def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     raise AssertionError
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def full_sets(texts: DataFrame) -> DataFrame:
+    """``doc_id, items``: the whole shingle sets, 8 bytes a shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in c.blocks(batches):
+            items = [s.tobytes() for s in shingle_sets(block)]
+            yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(items, pa.binary())], ["doc_id", "items"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, items binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
-                sets = []
-                for name in ("ta", "tb"):
-                    one = pa.RecordBatch.from_arrays([part.column("a"), part.column(name)], ["doc_id", "text"])
-                    sets.append([s for block in c.blocks([one]) for s in shingle_sets(block)])
-                keep = []
-                for x, y in zip(*sets, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= PER_CENT * (len(x) + len(y) - both) > 0)
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), c.U64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= PER_CENT * (len(x) + len(y) - both) > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -250,9 +257,9 @@ def in_components(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def mixed(rows: DataFrame) -> DataFrame:
     """The rows of nodes whose members lie in more than one component, with
-    ``main``, the largest of these."""
+    ``main``, the largest of these, and ``size``, the number of members."""
     sizes = rows.groupBy("node", "comp").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
+    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"), F.sum("m").alias("size"))
     return rows.join(main.where("parts > 1").drop("parts"), "node")
 
 
@@ -289,29 +296,69 @@ def medoid_pairs(rows: DataFrame) -> DataFrame:
 
 def rest_pairs(rows: DataFrame) -> DataFrame:
     """What the medoids left open: in each large node, the members outside
-    its main component against the members of all other components."""
-    outside = rows.where("comp <> main").select(
-        "node", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("sketch").alias("sx")
-    )
-    pairs = outside.join(rows.select("node", "rep", "comp", "sketch"), "node").where(
-        F.expr(f"cx <> comp and {agreement('sx', 'sketch')} >= {AGREE}")
-    )
-    return pairs.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+    its main component against the members of all other components. A node is
+    cut into slices of about ``SLICE`` members, one task's work each; the rows
+    outside go to every slice of their node."""
+    slices = f"cast(ceil(size / {SLICE}) as int)"
+    members = rows.withColumn("slice", F.expr(f"cast(pmod(xxhash64(rep), {slices}) as int)")).withColumn("side", F.lit(0))
+    outside = rows.where("comp <> main").withColumn("slice", F.expr(f"explode(sequence(0, {slices} - 1))"))
+    every = members.unionByName(outside.withColumn("side", F.lit(1)))
 
-
-def all_links(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links that give the components of all similar pairs: first
-    the forests' ``pairs``, then medoids and the rest of large nodes, then
-    what is open in leaves. Each step only sees nodes whose members still lie
-    in different components."""
-    links = c.written(confirmed(pairs, texts), "links0")
-    steps = [(medoid_pairs, dense)] * MEDOID_ROUNDS + [(rest_pairs, dense)] if dense.limit(1).count() else []
-    for i, (step, rows) in enumerate([*steps, (leaf_pairs, leaves)], 1):
-        open_rows = c.written(mixed(in_components(rows, components(links))), f"open{i}")
-        if open_rows.isEmpty():
-            continue
-        links = links.unionByName(c.written(confirmed(step(open_rows), texts), f"links{i}"))
-    return links
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(k).to_numpy() for k in ("node", "slice", "side", "rep", "comp")]
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, MINS)
+            node, part, side = columns[:3]
+            changes = (np.diff(node) != 0) | (np.diff(part) != 0) | (np.diff(side) != 0)
+            cuts = [0, *(np.flatnonzero(changes) + 1), len(node)] if len(node) else [0]
+            out: list[list[np.ndarray]] = [[], []]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if (node[lo], part[lo]) != key:
+                    key, held = (node[lo], part[lo]), []
+                if side[lo] == 0:
+                    held.append((columns[3][lo:hi], columns[4][lo:hi], sketch[lo:hi]))
+                    continue
+                if not held:  # a slice that no member fell into
+                    continue
+                rep, comp, own = (np.concatenate(x) for x in zip(*held, strict=True))
+                held = [(rep, comp, own)]
+                for at in range(lo, hi, 64):
+                    to = min(at + 64, hi)
+                    near = (sketch[at:to, None, :] == own[None, :, :]).sum(axis=2) >= AGREE
+                    i, j = np.nonzero(near & (columns[4][at:to, None] != comp[None, :]))
+                    a, b = columns[3][at:to][i], rep[j]
+                    out[0].append(np.minimum(a, b))
+                    out[1].append(np.maximum(a, b))
+            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    dealt = every.select("node", "slice", "side", "rep", "comp", "sketch").repartition("node", "slice")
+    return dealt.sortWithinPartitions("node", "slice", "side").mapInArrow(run, "a long, b long").distinct()
+
+
+def linked(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, component`` of all similar pairs: first the forests' ``pairs``
+    and the medoids of large nodes, then, in nodes whose members still lie in
+    different components, medoids again, and last all that is open. The links
+    of a round only extend the components found before."""
+    rounds: list[list] = [[(rest_pairs, dense), (leaf_pairs, leaves)]]
+    if dense.isEmpty():
+        rounds = [[(leaf_pairs, leaves)]]
+    else:
+        alone = dense.select("node", "rep", "sketch", F.col("rep").alias("comp"), F.col("rep").alias("main"))
+        pairs = pairs.select("a", "b").unionByName(medoid_pairs(alone)).distinct()
+        rounds = [[(medoid_pairs, dense)]] * (MEDOID_ROUNDS - 1) + rounds
+    found = components(c.written(confirmed(pairs, sets), "links"))
+    for steps in rounds:
+        open_pairs = None
+        for step, rows in steps:
+            more = step(c.written(mixed(in_components(rows, found)), "open"))
+            open_pairs = more if open_pairs is None else open_pairs.unionByName(more).distinct()
+        links = c.written(confirmed(open_pairs, sets), "links")
+        if not links.isEmpty():
+            found = extended(found, links)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,10 +375,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .unionByName(dense.select(F.col("rep").alias("doc_id")))
         .distinct()
     )
-    texts = c.written(known.join(live, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = known.join(live, "doc_id").dropDuplicates(["doc_id"])
 
-    links = all_links(leaves, dense, pairs, texts)
-    found = components(links).select(F.col("node").alias("rep"), "component")
+    found = linked(leaves, dense, pairs, c.written(full_sets(texts), "sets")).select(F.col("node").alias("rep"), "component")
     out = marks.join(classes, ["k1", "k2"], "left").join(found, "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"))

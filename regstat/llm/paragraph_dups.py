@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from regstat.llm import common as c
 from regstat.llm import near_dups as nd
-from regstat.llm.components import components
 
 MIN_WORDS = 20
 SIMILARITY = 0.75
@@ -105,8 +104,8 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     pairs = c.written(nd.leaf_pairs(leaves.withColumn("comp", F.col("rep")), every=False), "pairs")
     live = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(dense.select(F.col("rep").alias("key")))
     texts = every.select("key", "text").join(live.distinct(), "key", "left_semi").dropDuplicates(["key"])
-    texts = c.written(texts.select(F.col("key").alias("doc_id"), "text"), "texts")
-    found = components(nd.all_links(leaves, dense, pairs, texts)).select(F.col("node").alias("key"), "component")
+    sets = c.written(nd.full_sets(texts.select(F.col("key").alias("doc_id"), "text")), "sets")
+    found = nd.linked(leaves, dense, pairs, sets).select(F.col("node").alias("key"), "component")
 
     joined = places.select("doc_id", "line", "n_words", "key").join(found, "key", "left")
     joined = joined.withColumn("component", F.coalesce("component", "key"))
