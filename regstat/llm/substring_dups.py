@@ -15,8 +15,8 @@ highest group down, each group's suffixes find their previous smaller suffix
 by pointers, and those it is the next smaller one of move to a group whose
 common prefix (their Lyndon prefix in the end) is longer. A last pass over
 the suffixes in order drops each suffix whose next smaller one was just
-placed into its group's next free place; nothing is sorted or renamed.
-Neighbours with a common prefix of ``LENGTH`` or more are equal strings.
+placed into its group's next free place; nothing is renamed. Neighbours that
+agree in their first ``LENGTH`` bytes are equal strings.
 
 Defined results: null and empty texts, and texts under ``LENGTH`` bytes,
 lose nothing; a copy of a whole text loses all of it; document ids are taken
@@ -158,21 +158,15 @@ def met(parts: DataFrame) -> DataFrame:
 def suffix_array(text: list[int]) -> list[int]:
     """Suffix array by linear grouping (see the module's docstring)."""
     n = len(text)
-    above: list[int] = []  # per group: the next higher group not yet done
-    below: list[int] = []
-    members: list[list[int]] = []
-    group = [0] * n
-    for value in sorted(set(text)):
-        g = len(members)
-        members.append([])
-        below.append(g - 1)
-        above.append(-1)
-        if g:
-            above[g - 1] = g
-    number = {v: g for g, v in enumerate(sorted(set(text)))}
-    for i, v in enumerate(text):
-        g = group[i] = number[v]
-        members[g].append(i)
+    values = sorted(set(text))
+    number = {v: g for g, v in enumerate(values)}
+    group = [number[v] for v in text]
+    members: list[set[int]] = [set() for _ in values]
+    for i, g in enumerate(group):
+        members[g].add(i)
+    # per group: the next higher and lower one not yet done
+    above = [*range(1, len(values)), -1]
+    below = list(range(-1, len(values) - 1))
     length = [1] * n
     before = [-1] * n  # previous smaller suffix of a finished one
     done = bytearray(n)
@@ -181,9 +175,8 @@ def suffix_array(text: list[int]) -> list[int]:
     while g >= 0:
         own = members[g]
         end -= len(own)
-        step = length[own[0]] if own else 0
         times: dict[int, int] = {}
-        for i in own:  # ascending
+        for i in sorted(own) if len(own) > 1 else own:
             done[i] = 1
             place[i] = end
             p = i - 1
@@ -192,22 +185,25 @@ def suffix_array(text: list[int]) -> list[int]:
             before[i] = p
             if p >= 0:
                 times[p] = times.get(p, 0) + 1
+            step = length[i]
         moved: dict[tuple[int, int], list[int]] = {}
         for p, k in times.items():
             moved.setdefault((group[p], k), []).append(p)
-        for h, k in sorted(moved, key=lambda x: x[1]):  # more repeats of the prefix: higher
-            movers = sorted(moved[h, k])
-            gone = set(movers)
+        highest: dict[int, int] = {}  # per group, what last moved out of it
+        for h, k in sorted(moved, key=lambda x: x[1]) if len(moved) > 1 else moved:  # more repeats of the prefix: higher
+            movers = moved[h, k]
+            for p in movers:
+                length[p] += k * step
+            if len(movers) == len(members[h]) and h not in highest:
+                continue  # the whole group: it stays where it is
             new = len(members)
-            members.append(movers)
-            members[h] = [x for x in members[h] if x not in gone]
+            members.append(set(movers))
+            members[h].difference_update(movers)
             for p in movers:
                 group[p] = new
-                length[p] += k * step
             # directly above the rest of h and what fewer repeats moved out of it
-            under = h
-            while above[under] != -1 and above[under] in _from(moved, h, k, group):
-                under = above[under]
+            under = highest.get(h, h)
+            highest[h] = new
             over = above[under]
             above.append(over)
             below.append(under)
@@ -234,31 +230,6 @@ def suffix_array(text: list[int]) -> list[int]:
         p = order[k]
 
 
-def _from(moved: dict[tuple[int, int], list[int]], h: int, k: int, group: list[int]) -> set[int]:
-    """Groups that members of ``h`` with fewer repeats than ``k`` moved to."""
-    return {group[v[0]] for (g, times), v in moved.items() if g == h and times < k}
-
-
-def common_prefixes(text: list[int], order: list[int]) -> list[int]:
-    """Length of the common prefix of each suffix with the one before it in
-    order."""
-    n = len(text)
-    rank = [0] * n
-    for r, i in enumerate(order):
-        rank[i] = r
-    out, h = [0] * n, 0
-    for i in range(n):
-        if rank[i]:
-            j = order[rank[i] - 1]
-            while i + h < n and j + h < n and text[i + h] == text[j + h]:
-                h += 1
-            out[rank[i]] = h
-            h = max(0, h - 1)
-        else:
-            h = 0
-    return out
-
-
 def repeats(segments: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
     """(document, start) of the strings of the segments ``(document, start,
     bytes)`` that an earlier one equals."""
@@ -268,17 +239,19 @@ def repeats(segments: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
         text += raw
         owner += [(doc, at + i) for i in range(len(raw) - LENGTH + 1)] + [None] * LENGTH
         text.append(-1)
-    order = suffix_array(text)
-    shared = common_prefixes(text, order)
+    joined = b"\0".join(raw for _, _, raw in segments)
     out: list[tuple[int, int]] = []
     run: list[tuple[int, int]] = []
-    for i, h in zip(order, shared, strict=True):
-        if h < LENGTH:
+    string = None  # that the suffixes of the run start with
+    for i in suffix_array(text):
+        if owner[i] is None:  # ends before its string does
+            continue
+        own = joined[i : i + LENGTH]
+        if own != string:
             run.sort()
             out += run[1:]
-            run = []
-        if owner[i] is not None:
-            run.append(owner[i])
+            run, string = [], own
+        run.append(owner[i])
     run.sort()
     return out + run[1:]
 
