@@ -1,7 +1,8 @@
 """Token-ID / binary output (5): static range asymmetric numeral system.
 
-Documents are tokenized with the ``tokenizers`` library and written in
-ascending id order as a Parquet dataset of independent blocks. A block holds
+Documents are tokenized with the ``tokenizers`` library where they are read;
+only their ids, about half as large, are dealt by ranges of the document id
+and written in ascending order as a Parquet dataset of independent blocks. A block holds
 the ids of whole documents, coded with one frequency table that all blocks
 share (counted over all ids). ``LANES`` interleaved coders write into one
 word stream, so numpy codes a row of ``LANES`` ids at a time. Every
@@ -10,7 +11,7 @@ reader can start at any of them, in parallel. A CRC-32 per block guards the
 ids.
 
 Defined results: null and empty texts are the end id alone; documents that
-repeat an id are written in the order of their texts; an empty table gives an
+repeat an id are written in the order of their ids' bytes; an empty table gives an
 empty dataset; other columns are not looked at.
 """
 
@@ -206,10 +207,7 @@ BLOCKS = (
 
 
 def tokens(docs: DataFrame, path: str) -> DataFrame:
-    """``part, doc_id, ids`` (little-endian uint16, with the end id), sorted
-    by id over the parts. The order is dealt by the ids' range."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    """``doc_id, ids`` (little-endian uint16, with the end id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = runs(path)
@@ -218,11 +216,9 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
                 part = batch.slice(lo, 500)
                 coded = known.encode(part.column("text").to_pylist())
                 raw = [np.append(x, END).astype("<u2").tobytes() for x in coded]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("part"), part.column("doc_id"), pa.array(raw, pa.binary())], ["part", "doc_id", "ids"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
 
-    return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, "part int, doc_id long, ids binary")
+    return docs.mapInArrow(run, "doc_id long, ids binary")
 
 
 def counts(coded: DataFrame) -> np.ndarray:
@@ -252,8 +248,10 @@ def counts(coded: DataFrame) -> np.ndarray:
 
 
 def encoded(coded: DataFrame, freq: np.ndarray) -> DataFrame:
-    """The blocks of each part in order; ``start`` counts from the part's
-    first id. A part's rows are read in file order by one task."""
+    """The blocks of each part, a range of document ids, in order; ``start``
+    counts from the part's first id."""
+    n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = coded.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(freq)
@@ -285,8 +283,7 @@ def encoded(coded: DataFrame, freq: np.ndarray) -> DataFrame:
         if held:
             yield flush()
 
-    dealt = coded.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
-    return dealt.mapInArrow(run, BLOCKS)
+    return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, BLOCKS)
 
 
 def decoded(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
