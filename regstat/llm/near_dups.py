@@ -196,14 +196,18 @@ def leaf_pairs(rows: DataFrame, every: bool = True) -> DataFrame:
 
 def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(leaf rows, rows of nodes that stayed large), both ``node, rep,
-    sketch``. ``reps`` has ``rep, mins, sketch``."""
-    rows = reps.select("rep", "sketch", F.posexplode("mins").alias("at", "value")).select(
-        F.xxhash64("at", "value").alias("node"), F.expr("cast(at div 2 as int)").alias("tree"), "rep", "sketch"
+    sketch``. ``reps`` has ``rep, mins, sketch``. On the first level most nodes
+    hold one document; the sketch is fetched only for the others."""
+    rows = reps.select("rep", F.posexplode("mins").alias("at", "value")).select(
+        F.xxhash64("at", "value").alias("node"), F.expr("cast(at div 2 as int)").alias("tree"), "rep"
     )
     leaves: DataFrame | None = None
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        sized = c.written(rows.join(sizes, "node"), f"tree{level}")
+        sized = rows.join(sizes, "node")
+        if level == 1:
+            sized = sized.join(reps.select("rep", "sketch"), "rep")
+        sized = c.written(sized, f"tree{level}")
         small = sized.where(F.col("n") <= LEAF).select("node", "rep", "sketch")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = sized.where(F.col("n") > LEAF)
@@ -276,8 +280,8 @@ def medoid_pairs(rows: DataFrame) -> DataFrame:
     values = among.select("node", "sketch", F.explode(F.sequence(F.lit(1), F.lit(MINS))).alias("i")).select(
         "node", "i", F.expr("int(conv(hex(substring(sketch, i, 1)), 16, 10))").alias("value")
     )
-    most = values.groupBy("node", "i", "value").agg(F.count("*").alias("n"))
-    most = most.groupBy("node", "i").agg((F.max(F.col("n") * 256 + F.col("value")) % 256).alias("value"))
+    most = values.groupBy("node", "i", "value").agg(F.count("*").alias("n"))  # at most 256 values an i
+    most = most.repartition("node").groupBy("node", "i").agg((F.max(F.col("n") * 256 + F.col("value")) % 256).alias("value"))
     usual = most.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("usual"))
     near = F.expr(
         f"aggregate(sequence(1, {MINS}), 0, (n, i) -> n + "
@@ -366,8 +370,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = c.keyed(docs, id_col, text_col)
     marks = c.written(sketches(known), "sketches")
     classes = marks.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    reps = marks.where("n_shingles > 0").join(classes, ["k1", "k2"]).where("doc_id = rep")
-    leaves, dense = trees(reps.dropDuplicates(["rep", "k1", "k2"]).select("rep", "mins", "sketch"))
+    least = F.min(F.struct(F.col("doc_id").alias("rep"), "mins", "sketch")).alias("least")
+    reps = marks.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(least).select("least.*")
+    leaves, dense = trees(c.written(reps, "reps"))
     pairs = c.written(leaf_pairs(leaves.withColumn("comp", F.col("rep")), every=False), "pairs")
 
     live = (
@@ -375,6 +380,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .unionByName(dense.select(F.col("rep").alias("doc_id")))
         .distinct()
     )
+    live = c.written(live, "live")  # its size is known to the plan: a small one is broadcast, and no text is shuffled
     texts = known.join(live, "doc_id").dropDuplicates(["doc_id"])
 
     found = linked(leaves, dense, pairs, c.written(full_sets(texts), "sets")).select(F.col("node").alias("rep"), "component")
