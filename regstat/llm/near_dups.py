@@ -22,7 +22,7 @@ these are confirmed, only pairs that still lie in different components.
 medoid instead, along with the forests: the member nearest to what most
 members agree on, the text that the others were copied from, if it is there.
 At the end each document outside a node's largest component is compared with
-the members of all other components. So no pair is lost, and a group of near copies costs about as
+the members of all other components, on the full sets. So no pair is lost, and a group of near copies costs about as
 many comparisons as it has members.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D after lower-casing A-Z;
@@ -298,46 +298,65 @@ def medoid_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
 
 
-def rest_pairs(rows: DataFrame) -> DataFrame:
+class Members:
+    """Full sets of a slice of members, as postings by shingle."""
+
+    def __init__(self, reps: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]):
+        self.reps, self.comps = reps, comps
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def linked(self, comp: int, own: np.ndarray) -> np.ndarray:
+        """One member of each other component that the set ``own`` is linked
+        with."""
+        both = np.zeros(len(self.reps), np.int64)
+        for at in range(0, len(own), 4096):
+            first = np.searchsorted(self.values, own[at : at + 4096], side="left")
+            n = np.searchsorted(self.values, own[at : at + 4096], side="right") - first
+            places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both += np.bincount(self.owner[places], minlength=len(both))
+        near = (both > 0) & (100 * both >= PER_CENT * (len(own) + self.sizes - both)) & (self.comps != comp)
+        _, one = np.unique(self.comps[near], return_index=True)
+        return self.reps[near][one]
+
+
+def rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """What the medoids left open: in each large node, the members outside
-    its main component against the members of all other components. A node is
-    cut into slices of about ``SLICE`` members, one task's work each; the rows
-    outside go to every slice of their node."""
+    its main component against the members of all other components, on full
+    sets. A node is cut into slices of about ``SLICE`` members, one task's work
+    each; the rows outside go to every slice of their node. Only links come
+    out, one for each row outside, slice and component."""
     slices = f"cast(ceil(size / {SLICE}) as int)"
-    members = rows.withColumn("slice", F.expr(f"cast(pmod(xxhash64(rep), {slices}) as int)")).withColumn("side", F.lit(0))
-    outside = rows.where("comp <> main").withColumn("slice", F.expr(f"explode(sequence(0, {slices} - 1))"))
+    full = sets.select(F.col("doc_id").alias("rep"), "items")
+    known = rows.select("node", "rep", "comp", "main", "size").join(full, "rep")
+    members = known.withColumn("slice", F.expr(f"cast(pmod(xxhash64(rep), {slices}) as int)")).withColumn("side", F.lit(0))
+    outside = known.where("comp <> main").withColumn("slice", F.expr(f"explode(sequence(0, {slices} - 1))"))
     every = members.unionByName(outside.withColumn("side", F.lit(1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, members = None, [], None
         for batch in batches:
-            columns = [batch.column(k).to_numpy() for k in ("node", "slice", "side", "rep", "comp")]
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, MINS)
-            node, part, side = columns[:3]
-            changes = (np.diff(node) != 0) | (np.diff(part) != 0) | (np.diff(side) != 0)
-            cuts = [0, *(np.flatnonzero(changes) + 1), len(node)] if len(node) else [0]
-            out: list[list[np.ndarray]] = [[], []]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if (node[lo], part[lo]) != key:
-                    key, held = (node[lo], part[lo]), []
-                if side[lo] == 0:
-                    held.append((columns[3][lo:hi], columns[4][lo:hi], sketch[lo:hi]))
-                    continue
-                if not held:  # a slice that no member fell into
-                    continue
-                rep, comp, own = (np.concatenate(x) for x in zip(*held, strict=True))
-                held = [(rep, comp, own)]
-                for at in range(lo, hi, 64):
-                    to = min(at + 64, hi)
-                    near = (sketch[at:to, None, :] == own[None, :, :]).sum(axis=2) >= AGREE
-                    i, j = np.nonzero(near & (columns[4][at:to, None] != comp[None, :]))
-                    a, b = columns[3][at:to][i], rep[j]
-                    out[0].append(np.minimum(a, b))
-                    out[1].append(np.maximum(a, b))
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            node, part, side, rep, comp = (batch.column(k).to_numpy() for k in ("node", "slice", "side", "rep", "comp"))
+            a, b = [], []
+            for i, raw in enumerate(batch.column("items").to_pylist()):
+                if (node[i], part[i]) != key:
+                    key, held, members = (node[i], part[i]), [], None
+                own = np.frombuffer(raw, c.U64)
+                if side[i] == 0:
+                    held.append((rep[i], comp[i], own))
+                elif held:  # some member fell into this slice
+                    if members is None:
+                        reps, comps, own_sets = zip(*held, strict=True)
+                        members = Members(np.array(reps), np.array(comps), list(own_sets))
+                    found = members.linked(comp[i], own)
+                    a.append(np.minimum(found, rep[i]))
+                    b.append(np.maximum(found, rep[i]))
+            a, b = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (a, b))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    dealt = every.select("node", "slice", "side", "rep", "comp", "sketch").repartition("node", "slice")
+    dealt = every.select("node", "slice", "side", "rep", "comp", "items").repartition("node", "slice")
     return dealt.sortWithinPartitions("node", "slice", "side").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -346,7 +365,7 @@ def linked(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, sets: DataFram
     and the medoids of large nodes, then, in nodes whose members still lie in
     different components, medoids again, and last all that is open. The links
     of a round only extend the components found before."""
-    rounds: list[list] = [[(rest_pairs, dense), (leaf_pairs, leaves)]]
+    rounds: list[list] = [[(lambda rows: rest_pairs(rows, sets), dense), (leaf_pairs, leaves)]]
     if dense.isEmpty():
         rounds = [[(leaf_pairs, leaves)]]
     else:
