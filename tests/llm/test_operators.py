@@ -207,6 +207,39 @@ def test_licenses(spark):
     assert got == want
 
 
+def families_of(spark, rows):
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: [(x["at"], x.family) for x in r.found] for r in found}
+
+
+def test_license_wordings(spark):
+    mit = "Copyright (c) 2020 A\n\nPermission is hereby granted, free of charge, to any\nperson obtaining a copy of this software"
+    bsd = "Redistribution and use in source and binary\nforms, with or without modification, are permitted provided that"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version."
+    wordings = [
+        ("Licensed under the MIT License", [(0, "MIT")]),
+        ("Licensed under the ISC license", [(0, "ISC")]),
+        ("Licensed under the Apache License 2.0", [(0, "Apache-2.0")]),
+        ("# SPDX-License-Identifier: MIT", [(0, "MIT")]),
+        ("SPDX-License-Identifier: Apache-2.0 OR MIT", [(0, "Apache-2.0"), (0, "MIT")]),
+        ("Licensed under the GNU General Public License, version 3.", [(0, "GPL-3.0")]),
+        ("Licensed under the GNU General Public License, version 2.", [(0, "GPL-2.0")]),
+        ("GNU Lesser General Public License v2.1", [(0, "LGPL-2.1")]),
+        ("Available under the GPLv3", [(0, "GPL-3.0")]),
+        (mit, [(2, "MIT")]),
+        (bsd + " the following\nconditions are met:", [(0, "BSD-2-Clause")]),
+        (bsd + " the following\nconditions are met:\n\n3. Neither the name of A", [(0, "BSD-3-Clause")]),
+        (gpl.format(2), [(1, "GPL-2.0")]),
+        (gpl.format(3), [(1, "GPL-3.0")]),
+        ("This work is under a Creative Commons Attribution-ShareAlike 4.0 International License", [(0, "CC-BY-SA-4.0")]),
+        ("This is free and unencumbered software released into the public domain.", [(0, "Unlicense")]),
+        ("The license plate and version 3 of the general report for the public", []),
+    ]
+    got = families_of(spark, [(i, t) for i, (t, _) in enumerate(wordings)] + [(100 + i, prose(60)) for i in range(40)])
+    assert {wordings[i][0]: got[i] for i in range(len(wordings))} == dict(wordings)
+    assert not any(got[100 + i] for i in range(40))
+
+
 def test_decontamination_equals_brute_force(spark, docs, texts):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     cut = [word.findall(lower(t)) for t in texts]
