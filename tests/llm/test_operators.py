@@ -240,6 +240,17 @@ def test_license_wordings(spark):
     assert not any(got[100 + i] for i in range(40))
 
 
+def test_license_in_a_long_line(spark):
+    text = " ".join([prose(4000), "licensed under the MIT license.", prose(4000), "SPDX-License-Identifier: ISC", prose(90)])
+    got = families_of(spark, [(1, text), (2, prose(3000) + " a license " + prose(3000)), (3, "x\n" + text + "\n" + text)])
+    assert got == {1: [(0, "ISC"), (0, "MIT")], 2: [], 3: [(1, "ISC"), (1, "MIT"), (2, "ISC"), (2, "MIT")]}
+    rows = [(i, "\n".join(f"{prose(9)} license {prose(9)}" for _ in range(300))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = licenses.keyed(docs, "doc_id", "text")
+    drawn = licenses.training(spark, known, licenses.candidates(known)).where("label = 0").count()
+    assert drawn <= 2 * licenses.SAMPLE + len(licenses.OTHERS)
+
+
 def test_decontamination_equals_brute_force(spark, docs, texts):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     cut = [word.findall(lower(t)) for t in texts]
