@@ -5,7 +5,9 @@ runs. The method adds spans of its own: a run of key-like characters is put
 through a byte-level BPE vocabulary; prose and names need few tokens, random
 strings need many, so a low number of characters per token exposes them.
 Known digests (hex of the usual digest lengths, UUIDs) and identifiers (names
-made of words, paths, numbers) are excluded from that test.
+and paths whose letter parts are words, that is need few tokens themselves)
+are excluded from that test; runs under ``LONG_RUN`` characters are tested
+where they mix letters, digits and cases, and are not hex.
 
 Offsets are code points, end exclusive. Defined results: null and empty
 texts have no spans; repeated rows are scanned one by one; spans of different
@@ -35,12 +37,19 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 #: Runs that the token test looks at, and the characters per token below
 #: which one is random.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 MAX_CHARS_PER_TOKEN = 2.0
+#: A shorter run is only tested if it goes between letters and digits, or from
+#: small letters to capitals, this often.
+LONG_RUN, SWITCHES = 20, 3
+#: Characters per token from which the letter parts of a run are words; those
+#: of random runs of 20 and more reach 2.4.
+WORD_CHARS_PER_TOKEN = 2.5
 #: Lengths of hex digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGESTS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 IS_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+SWITCH = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 KINDS = ("assign", "access", "hex", "random")
@@ -56,21 +65,32 @@ def vocabulary(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("secrets", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
 
-def identifier(run: str) -> bool:
+def efficiency(parts: list[str], vocab: tiktoken.Encoding) -> float:
+    """Characters per token; capitals count as the better of both cases."""
+    cost = sum(
+        min(len(vocab.encode_ordinary(q)) for q in ({p, p.lower()} if p.isupper() else {p})) for p in parts
+    )
+    return sum(map(len, parts)) / max(cost, 1)
+
+
+def identifier(run: str, vocab: tiktoken.Encoding) -> bool:
     """Made of words of three or more letters: at most a third of the letters
-    and digits stand outside them."""
+    and digits stand outside them, and they need few tokens, as words do."""
     parts = WORDS.findall(run)
     size = sum(map(len, parts))
-    return 3 * sum(len(p) for p in parts if len(p) >= 3 and p.isalpha()) >= 2 * size
+    words = [p for p in parts if len(p) >= 3 and p.isalpha()]
+    return 3 * sum(map(len, words)) >= 2 * size and efficiency(words, vocab) >= WORD_CHARS_PER_TOKEN
 
 
 def random_run(run: str, vocab: tiktoken.Encoding, most: float = MAX_CHARS_PER_TOKEN) -> bool:
     """The token-efficiency test with its exclusions."""
-    if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
+    if not any(map(str.isalpha, run)):
+        return False
+    if len(run) < LONG_RUN and (len(SWITCH.findall(run)) < SWITCHES or IS_HEX.fullmatch(run.replace("-", ""))):
         return False
-    if len(run) in DIGESTS and IS_HEX.fullmatch(run) or UUID.fullmatch(run) or identifier(run):
+    if len(run) in DIGESTS and IS_HEX.fullmatch(run) or UUID.fullmatch(run):
         return False
-    return len(run) <= most * len(vocab.encode_ordinary(run))
+    return efficiency([run], vocab) <= most and not identifier(run, vocab)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

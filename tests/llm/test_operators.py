@@ -149,6 +149,23 @@ def test_secret_base_and_method(spark):
     assert secrets.redact("ab cd ef", [(0, 0, 4), (3, 1, 5)], "*") == "* ef"
 
 
+@pytest.mark.parametrize(
+    ("signs", "size", "least"),
+    [
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32, 0.99),
+        ("abcdefghijklmnopqrstuvwxyz0123456789", 24, 0.99),
+        ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 24, 0.99),
+        ("abcdefghijklmnopqrstuvwxyz0123456789", 16, 0.8),
+    ],
+)
+def test_random_runs_of_any_alphabet(signs, size, least):
+    vocab, rng = secrets.vocabulary(queries.BYTE_BPE), random.Random(11)
+    keys = ["".join(rng.choice(signs) for _ in range(size)) for _ in range(500)]
+    assert sum(secrets.find(f"key {k} x", vocab) == [(4, 3, 4 + size)] for k in keys) >= least * 500
+    names = "getUserAccountSettingsById2 MAX_CONNECTIONS_PER_HOST_2 tests/llm/test_operators2 KOMMUNEHELSESAMARBEIDET2020"
+    assert secrets.find(names + " DONAUDAMPFSCHIFFFAHRTSGESELLSCHAFT 2024-01-15T10 00-1a-2b-3c-4d-5e", vocab) == []
+
+
 def test_quality_model(spark):
     good = [prose(RNG.randint(5, 80)) for _ in range(150)]
     bad = [" ".join(w.upper() + "!!" for w in prose(RNG.randint(5, 80)).split()) for _ in range(150)]
