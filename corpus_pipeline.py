@@ -7,7 +7,8 @@
 5. ``tokens``: the texts are encoded, and decoded again as a check.
 
 Each stage takes what the one before kept, written as Parquet and read again.
-Rows that repeat an id stand or fall together. Null texts count as empty; an
+Rows that repeat an id stand or fall together; rows without an id each stand
+on their own, as documents after all that have one. Null texts count as empty; an
 empty table passes through as an empty table; extra columns are carried to
 the last stage. No stage can be put in SQL as a whole, so ``ORACLE_SQL`` is
 None; ``tests/llm`` holds the stages against brute force.
@@ -30,16 +31,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_model.accepted(docs, fitted, KEEP_SCORE)
 
 
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: the id, and a number of its own, beyond all
+    ids, for each row without one (then written, so that it stays the same)."""
+    key = F.col("doc_id").cast("long")
+    ids = docs.agg(F.max(key).alias("most"), F.count_if(key.isNull()).alias("missing")).first()
+    if not ids["missing"]:
+        return docs.withColumn("__row", key)
+    after = F.lit(ids["most"] if ids["most"] is not None else -1).cast("decimal(38,0)")
+    number = F.monotonically_increasing_id()
+    # raises rather than meets an id, should the largest be near the end of the range
+    return written(docs.withColumn("__row", F.coalesce(key, (after + 1 + number).cast("long"))), "rows")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_dups.near_duplicates(docs)
-    copies = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"))
-    return docs.join(copies.distinct(), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    rows = with_row_ids(docs)
+    found = near_dups.near_duplicates(rows, id_col="__row")
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__row"))
+    return rows.join(copies.distinct(), "__row", "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = written(found.where("n_hit > 0").select(F.col("doc_id").alias("__id")), "contaminated")
-    return docs.join(hit, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    rows = with_row_ids(docs)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
+    hit = written(found.where("n_hit > 0").select(F.col("doc_id").alias("__row")), "contaminated")
+    return rows.join(hit, "__row", "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

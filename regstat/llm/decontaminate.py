@@ -13,8 +13,8 @@ with fewer words is one window.
 
 Defined results: a null or empty text has no words, hits nothing and is hit
 by nothing; equal windows of different items count for each item; items that
-repeat an id are one item; documents that repeat an id are checked one by
-one; an empty table on either side gives no hit.
+repeat an id are one item; documents that repeat an id, or have none, are
+checked one by one; an empty table on either side gives no hit.
 """
 
 from __future__ import annotations
@@ -122,12 +122,15 @@ def proximity(index: DataFrame, rare: DataFrame, slop: int) -> DataFrame:
 def matches(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, items`` (sorted ids, as
     text, of the items with a window in it)."""
+    # Rows of one key share their places, and each place is checked in the row's
+    # own words: a text's hash serves as key where there is no id.
+    docs = docs.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
     found = windows(items, size)
     ids = F.collect_set(F.col("item_id").cast("string")).alias("ids")
     wid = F.xxhash64(F.concat_ws(" ", "window"))
     wins = written(found.groupBy("window").agg(ids).withColumn("wid", wid), "windows")
     terms = wins.select(F.explode("window").alias("term")).distinct()
-    index = written(postings(docs, terms), "postings")
+    index = written(postings(docs.select(F.col("key").alias("doc_id"), "text"), terms), "postings")
     rare = written(rarest_terms(wins, index), "rarest")
     places = candidates(index, sized(rare, BROADCAST_TERMS))
     by_doc = (
@@ -135,9 +138,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
         .groupBy(F.col("doc_id").alias("key"))
         .agg(F.collect_set(F.struct("start", "window", "ids")).alias("places"))
     )
-    joined = docs.select("doc_id", words(F.col("text")).alias("words")).join(
-        by_doc, F.col("doc_id").eqNullSafe(F.col("key")), "left"
-    )
+    joined = docs.select("doc_id", "key", words(F.col("text")).alias("words")).join(by_doc, "key", "left")
     exact = F.expr(
         "filter(coalesce(places, array()), p -> slice(words, p.start + 1, size(p.window)) = p.window)"
     )

@@ -374,3 +374,12 @@ def test_rows_without_an_id(spark):
     assert quality_rules.ledger(docs).count() == 3
     assert paragraph_dups.removals(docs).where("doc_id = 3").count() == 1
     assert bpe.encode_decode(docs, queries.WORD_BPE).count() == 3
+
+
+def test_decontamination_of_rows_without_an_id(spark):
+    texts = [prose(30) for _ in range(3)]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[0]), (None, None), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    test = spark.createDataFrame([(1, " ".join(texts[0].split()[4:20]))], "item_id long, text string")
+    found = decontaminate.contamination(docs, test).collect()
+    assert sorted((r.doc_id or 0, r.n_hit) for r in found) == [(0, 0), (0, 0), (0, 16), (0, 16), (5, 16)]

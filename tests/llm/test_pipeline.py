@@ -38,3 +38,19 @@ def test_stages_take_effect(spark, tmp_path):
     assert set(kept["near_dedup"]) - set(kept["decontaminate"]) == {7}
     assert "zzzzzzzz" not in kept["secrets"][122].text and kept["secrets"][122].n_chars == len(kept["secrets"][122].text)
     assert set(kept["tokens"]) == set(kept["secrets"]) == set(kept["decontaminate"])
+
+
+def test_rows_without_an_id_pass_no_stage_unseen(spark, tmp_path):
+    rng = random.Random(4)
+    prose = [" ".join(f"w{rng.randrange(600)}" for _ in range(60)) for _ in range(5)]
+    item = " ".join(prose[2].split()[10:25])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(9, prose[0]), (None, prose[0]), (None, prose[1]), (None, prose[1]), (None, prose[2]), (None, prose[3]), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    texts = lambda df: sorted((r.doc_id or 0, r.text or "") for r in df.collect())
+    left = [(0, ""), (0, ""), (0, prose[1]), (0, prose[2]), (0, prose[3]), (9, prose[0])]
+    assert texts(kept) == sorted(left)
+    clean = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    assert texts(clean) == sorted((r[0] or 0, r[1] or "") for r in rows if r[1] != prose[2])
