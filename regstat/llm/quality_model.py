@@ -195,6 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label_col: st
         .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id") != 0))
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(MAX_TRAIN)
     )
@@ -207,7 +208,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label_col: st
             )
 
     chosen = docs.join(F.broadcast(usable), "doc_id")  # at most MAX_TRAIN labels
-    rows = chosen.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
+    # one text of each id: the one with the least hash
+    one = chosen.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    rows = one.select("doc_id", "least.text").mapInArrow(run, "doc_id long, x array<double>")
     rows = rows.join(F.broadcast(usable), "doc_id").select("doc_id", "label", fold("doc_id").alias("fold"), "x").collect()
     if not rows:
         return None

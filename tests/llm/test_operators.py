@@ -180,6 +180,17 @@ def test_quality_model(spark):
     assert {r.score for r in none} == {0.5}
 
 
+def test_quality_model_fits_one_text_of_each_present_id(spark, monkeypatch):
+    rows = [(i, prose(20)) for i in range(30)] + [(7, prose(20)) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_model, "MAX_TRAIN", 12)
+    monkeypatch.setattr(quality_model, "fit", lambda x, y, held: seen.append(len(x)))
+    quality_model.model(docs, labels)
+    assert seen == [12]
+
+
 def test_token_blocks_round_trip(docs, texts):
     library = Tokenizer.from_file(queries.WORD_BPE)
     blocks, freq = token_blocks.written_blocks(docs, queries.WORD_BPE)
