@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from regstat.llm import (
     bpe,
     decontaminate,
+    language,
     licenses,
+    merkle,
     near_dups,
     paragraph_dups,
+    periodic_runs,
     quality_model,
     quality_rules,
     secrets,
@@ -140,6 +143,44 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+    top = F.get("runs", F.col("top").cast("int"))
+    listed = F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        top["start"].alias("start"),
+        top["length"].alias("length"),
+        top["period"].alias("period"),
+        F.expr("1000 * runs[top].length div runs[top].period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", merkle.UPPER, merkle.LOWER)
+    found = merkle.manifest(table(spark, sf_dir, "documents"), tampered, text=lowered)
+    siblings = F.expr("array_join(transform(path, s -> array_join(s.others, '')), '')")
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings, 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.model(docs))
+    return found.select("doc_id", (language.fold("doc_id") == 2).alias("held_out"), "lang_pred", "score")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -152,4 +193,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_paragraph_dups": op9_paragraph_dups,
         "op10_bpe": op10_bpe,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_language_id": op13_language_id,
     }
