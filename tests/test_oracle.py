@@ -7,6 +7,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_mod
+from regstat.plans import oracle, queries
+from regstat.plans.compare import compare, duck
 
 QUERIES = queries.registry()
 ORACLE = oracle.build()
