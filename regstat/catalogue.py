@@ -181,6 +181,26 @@ PLACE_COLUMNS = (
     "fylkenavndagens",
 )
 
+# Register tables of each service: codes, stays, and the stay key's name in both.
+SERVICE_TABLES = {
+    "SOM": ("SOMKoder", "SOMHoved", "som_k"),
+    "PHV": ("PHVKoder", "PHVHoved", "phv_k"),
+    "TSB": ("TSBKoder", "TSBHoved", "phv_k"),
+    "PHBU": ("PHBUKoder", "PHBUHoved", "bup_k"),
+    "AVT": ("AVTKoder", "AVTHoved", "asp_k"),
+}
+
+# The register's column names, by ours; columns not listed share one name.
+SOURCE_COLUMNS = {
+    "codes": {"year": "aar", "code_type": "KodeType", "code_no": "KodeNr", "axis": "Akse", "condition": "Tilstand", "code": "KodeVerdi"},
+    "stays": {
+        "year": "aar", "person_id": "NPRId", "sex": "kjonn", "home_municipality": "komnrhjem2",
+        "care_level": "omsorgsniva", "is_rehab": "erRehabilitering",
+    },
+    "persons": {"person_id": "NPRId", "birth_year": "fodtAar", "sex": "kjonn"},
+    "residence": {"person_id": "NPRId", "from_date": "fradato", "to_date": "tildato", "municipality": "kommune"},
+}
+
 # ---------------------------------------------------------------------------
 # Lookups derived from the fixed values above.
 # ---------------------------------------------------------------------------

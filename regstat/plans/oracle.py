@@ -45,8 +45,9 @@ codes_all AS (
          CAST(11 + l.l_linenumber % 3 AS INTEGER) AS code_no,
          CASE WHEN l.l_returnflag = 'N' THEN 2 ELSE 1 END AS axis,
          CASE WHEN l.l_linestatus = 'O' THEN 2 ELSE 1 END AS condition,
-         substr('I219I500J449M170S720S723S009T402T781T079F329F413F102F120F170F185F199F000Z000I109',
-                CAST(1 + 4 * ((l.l_partkey + l.l_suppkey) % 20) AS INTEGER), 4) AS code
+         ['I219', 'I500', 'J449', 'M170', 'S720', 'S723', 'S009', 'T402', 'T781', 'T079',
+          'F329', 'F413', 'F102', 'F120', 'F170', 'F185', 'F199', 'F000', 'Z000', 'I109'
+         ][1 + (l.l_partkey + l.l_suppkey) % 20] AS code
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 persons AS (
@@ -57,14 +58,12 @@ persons AS (
 residence AS (
   SELECT o_custkey AS person_id,
          CAST(o_orderdate + INTERVAL 16 YEAR AS DATE) AS from_date,
-         CAST(CASE WHEN o_orderkey % 13 = 0 THEN nxt + INTERVAL 16 YEAR + INTERVAL 60 DAY
-                   ELSE nxt + INTERVAL 16 YEAR - INTERVAL 1 DAY END AS DATE) AS to_date,
+         CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate + INTERVAL 16 YEAR AS DATE)
+              + CAST(200 + o_orderkey * 7 % 900 AS INTEGER) END AS to_date,
          CASE WHEN o_orderkey % 17 = 0 THEN '9999' WHEN o_orderkey % 19 = 0 THEN ''
               WHEN o_orderkey % 23 = 0 THEN '12345' WHEN o_orderkey % 29 = 0 THEN '1534'
               ELSE CAST(301 + (o_orderkey % 25) * 50 AS VARCHAR) END AS municipality
-  FROM (SELECT o_orderkey, o_custkey, o_orderdate,
-               lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nxt
-        FROM orders)
+  FROM orders
 ),
 places_raw AS (
   SELECT CAST(301 + n_nationkey * 50 AS INTEGER) AS kommunenr, n_name AS kommunenavn,
@@ -179,12 +178,10 @@ def _episode_ctes(services=cat.SERVICES) -> list[tuple[str, str]]:
 
 
 def _extract_cte(services=cat.SERVICES) -> tuple[str, str]:
-    cols = []
     parts = []
     for s in services:
         sel = [f"CAST(NULL AS INTEGER) AS {g}" if g not in s.group_names else g for g in cat.ALL_GROUP_NAMES]
         parts.append(f"SELECT {EPISODE_COLS}, {', '.join(sel)} FROM episodes_{s.name.lower()}")
-    del cols
     return ("extract", "\n  " + "\n  UNION ALL ".join(parts))
 
 
@@ -351,6 +348,8 @@ def build() -> dict[str, str]:
     o["episodes_window_som"] = o["episodes_som"]
 
     base = ep + [extract]
+    o["extract_from_service_folders"] = _with(base, f"SELECT {EPISODE_COLS}, {flags_all} FROM extract")
+    o["extract_from_named_tables"] = o["extract_from_service_folders"]
     o["cohort_persons"] = _with(base, "SELECT DISTINCT person_id FROM extract")
     o["residence_by_year"] = _with(base + res, "SELECT person_id, year, municipality FROM res_year")
     o["residence_by_year_from_wide"] = o["residence_by_year"]
@@ -477,5 +476,4 @@ LEFT JOIN (SELECT service, count(*) AS output_rows, min(year) AS min_year, max(y
            FROM (SELECT DISTINCT service, year, municipality, sex, age FROM joined) d
            GROUP BY service) c ON c.service = s.service""",
     )
-    del flags_all
     return o

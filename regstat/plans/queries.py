@@ -5,6 +5,7 @@ derivation in ``regstat.sources.fixtures``). Every query reads whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 from regstat import catalogue as cat
 from regstat.functions.codes import cohort_predicate, group_flags
 from regstat.operators import checks, episodes, places, residence, tabulate
-from regstat.sources.readers import Sources, fixture_sources
+from regstat.session import ensure_checkpoint_dir
+from regstat.sources.readers import Sources, fixture_frames, fixture_sources, named_sources, read_sources
+from regstat.sources.schemas import read_columns
+from regstat.sources.sinks import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +134,34 @@ def _extract(spark, sf_dir) -> tuple[Sources, DataFrame]:
     return src, episodes.extract_all(src)
 
 
+def extract_from_service_folders(spark, sf_dir):
+    """The extract of all services from staged folders in which each
+    service has only the columns that it reads."""
+    root = f"{ensure_checkpoint_dir(spark)}/regstat-staged-{uuid.uuid4().hex}"
+    frames = fixture_frames(spark, sf_dir)
+    for spec in cat.SERVICES:
+        for kind, columns in read_columns(spec).items():
+            own = frames[kind].filter(F.col("service") == spec.name).select(*columns)
+            write_table(own, f"{root}/{kind}/service={spec.name}", ["year"])
+    for name in ("persons", "residence", "places"):
+        write_table(frames[name], f"{root}/{name}")
+    return episodes.extract_all(read_sources(spark, root))
+
+
+def extract_from_named_tables(spark, sf_dir):
+    """The extract of all services from ten tables with the register's own
+    names of tables, keys and columns."""
+    frames = fixture_frames(spark, sf_dir)
+    views = {}
+    for service, (codes, stays, key) in cat.SERVICE_TABLES.items():
+        for kind, name in (("codes", codes), ("stays", stays)):
+            theirs = {**cat.SOURCE_COLUMNS[kind], "stay_key": key}
+            own = frames[kind].filter(F.col("service") == service).drop("service")
+            own.withColumnsRenamed(theirs).createOrReplaceTempView(views.setdefault(name, f"regstat_{name}"))
+    other = {k: frames[k].withColumnsRenamed(cat.SOURCE_COLUMNS[k]) for k in ("persons", "residence")}
+    return episodes.extract_all(named_sources(spark, views, other["persons"], other["residence"], frames["places"]))
+
+
 def cohort_persons(spark, sf_dir):
     """P2 / H1."""
     _, e = _extract(spark, sf_dir)
@@ -281,6 +313,8 @@ def registry() -> dict[str, Query]:
     q["episodes_window_som"] = _episodes_query("SOM", window=True)
     q.update(
         {
+            "extract_from_service_folders": extract_from_service_folders,
+            "extract_from_named_tables": extract_from_named_tables,
             "cohort_persons": cohort_persons,
             "residence_by_year": residence_by_year,
             "residence_wide": residence_wide,

@@ -4,6 +4,7 @@ from regstat.sources.readers import (
     Sources,
     fixture_frames,
     fixture_sources,
+    named_sources,
     read_sources,
     read_table,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "fixture_frames",
     "fixture_sources",
     "missing_columns",
+    "named_sources",
     "normalise",
     "normalise_names",
     "read_sources",

@@ -3,8 +3,8 @@
 The register itself is not public, so the tests and the benchmark derive the
 five inputs from ``orders``, ``lineitem``, ``customer``, ``nation`` and
 ``region``: orders become stays (priority picks the service), line items
-become code rows, customers become the person dimension, and each customer's
-order dates become a residence history. Dates move forward 16 years so the
+become code rows, customers become the person dimension, and each order
+also becomes an interval of its customer's residence history. Dates move forward 16 years so the
 data span (1995-2001) becomes 2011-2017 and 2011 falls outside the period.
 
 The arithmetic below is a fixed recipe shared with the DuckDB oracle
@@ -13,7 +13,7 @@ The arithmetic below is a fixed recipe shared with the DuckDB oracle
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the derivation recipe.
@@ -111,57 +111,17 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def next_in_order(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
-    """Add ``next_<value>``: the value of the following row of the same
-    ``key`` under ``order`` (a distributed ``lead``).
-
-    A window partitioned by ``key`` would put a key holding a third of all
-    rows into one task. Instead: one global sort (range partitioning splits
-    a hot key across tasks), consecutive row numbers from per-partition
-    offsets (a table of one row per partition, broadcast with that bound),
-    and an equi-join on row number + 1, whose keys are unique. The sorted,
-    numbered table is checkpointed so both sides of the join see the same
-    numbering."""
-    ordered = df.orderBy(key, *order).select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().alias("_mono"),
-    )
-    ordered = ordered.checkpoint(eager=True)
-    per_part = ordered.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first")
-    )
-    whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_part", "_first", F.coalesce(F.sum("_n").over(whole), F.lit(0)).alias("_offset")
-    )
-    numbered = ordered.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_mono") - F.col("_first")).alias("_row")
-    )
-    following = numbered.select(
-        (F.col("_row") - 1).alias("_row"),
-        F.col(key).alias("_next_key"),
-        F.col(value).alias(f"next_{value}"),
-    )
-    joined = numbered.join(following, "_row", "left")
-    same = F.col("_next_key") == F.col(key)
-    return joined.select(
-        *df.columns, F.when(same, F.col(f"next_{value}")).alias(f"next_{value}")
-    )
-
-
 def residence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One interval per order: from the order date to the day before the
-    customer's next order (some run 60 days past it, so intervals overlap);
-    the last one is open."""
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    o = next_in_order(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate")
+    """One interval per order, from its own row: it starts on the order date and
+    lasts 200 to 1099 days (so a customer's intervals overlap and leave gaps), or has
+    no end."""
+    o = _read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    nxt = _shift_date(F.col("next_o_orderdate"))
+    start = _shift_date(F.col("o_orderdate"))
     return o.select(
         F.col("o_custkey").alias("person_id"),
-        _shift_date(F.col("o_orderdate")).alias("from_date"),
-        F.when(k % 13 == 0, F.date_add(nxt, 60)).otherwise(F.date_sub(nxt, 1)).alias("to_date"),
+        start.alias("from_date"),
+        F.when(k % 9 != 0, F.date_add(start, (200 + k * 7 % 900).cast("int"))).alias("to_date"),
         F.when(k % 17 == 0, F.lit("9999"))
         .when(k % 19 == 0, F.lit(""))
         .when(k % 23 == 0, F.lit("12345"))

@@ -9,11 +9,17 @@ so column and filter pushdown still reach the scan.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from regstat import catalogue as cat
 from regstat.session import ensure_checkpoint_dir
@@ -23,6 +29,7 @@ from regstat.sources.schemas import (
     PERSONS,
     PLACES,
     RESIDENCE,
+    SCHEMAS,
     STAYS,
     normalise,
     read_columns,
@@ -62,44 +69,142 @@ def read_table(spark: SparkSession, ref: str, fmt: str | None = None, **options)
 
 
 def _by_service(df: DataFrame, schema, ids=()) -> dict[str, DataFrame]:
-    """Normalise once, then one filter per service (a partition filter on the
-    staged layout, so each service reads only its own directories)."""
+    """Normalise once, then one filter per service."""
     n = normalise(df, schema, ids, keep=["service"])
     return {s.name: n.filter(F.col("service") == s.name).drop("service") for s in cat.SERVICES}
 
 
-def read_sources(spark: SparkSession, root: str) -> Sources:
+def read_sources(spark: SparkSession, root: str, services=cat.SERVICES) -> Sources:
     """Read the staged layout written by ``regstat.sources.sinks.write_sources``:
-    ``codes`` and ``stays`` partitioned by ``service`` (and ``year``), plus
-    ``persons``, ``residence`` and ``places``. A service filter prunes
-    directories; year and selector filters reach parquet as pushed filters."""
+    ``codes`` and ``stays`` in folders by ``service`` (and ``year``), plus
+    ``persons``, ``residence`` and ``places``. Each service's folders are
+    read under their own columns (see ``read_service``); year and selector
+    filters reach parquet as pushed filters."""
     root = root.rstrip("/")
-    codes = spark.read.parquet(f"{root}/codes")
-    stays = spark.read.parquet(f"{root}/stays")
-    require_staged_columns(spark, root)
+
+    def by_service(kind: str, ids=()) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=len(services)) as pool:
+            found = list(pool.map(lambda s: read_service(spark, root, kind, s, ids), services))
+        return {s.name: df for s, df in zip(services, found, strict=True)}
+
     return Sources(
-        codes=_by_service(codes, CODES),
-        stays=_by_service(stays, STAYS, STAY_TRIM),
+        codes=by_service("codes"),
+        stays=by_service("stays", STAY_TRIM),
         persons=normalise(spark.read.parquet(f"{root}/persons"), PERSONS, PERSON_TRIM),
         residence=normalise(spark.read.parquet(f"{root}/residence"), RESIDENCE),
         places=spark.read.parquet(f"{root}/places"),
+        services=tuple(services),
     )
 
 
-def require_staged_columns(spark: SparkSession, root: str) -> None:
-    """Fail (50001) if the files of a service lack a column that the service
-    reads, before ``normalise`` would fill it with NULL. Each service's own
-    directory is asked for its schema; one without a directory has no rows.
-    Only file footers are read."""
-    for spec in cat.SERVICES:
-        for kind, columns in read_columns(spec).items():
-            try:
-                raw = spark.read.parquet(f"{root}/{kind}/service={spec.name}")
-            except AnalysisException as e:
-                if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    continue
-                raise
-            require_columns({f"{spec.name}.{kind}": raw}, columns, 50001)
+def read_service(spark: SparkSession, root: str, kind: str, spec: cat.ServiceSpec, ids=()) -> DataFrame:
+    """The codes or stays (``kind``) of one service, normalised.
+
+    The service's folder is looked at folder by folder (one for each year): every
+    one must have the columns that the service reads, else error 50001 names it,
+    before any data is read. Folders with equal columns and types are one read;
+    those that differ (another order, case or type, columns that only some services or
+    years have) are read and normalised on their own, then unioned by name. The
+    files inside one folder come from one write and share their columns. A service
+    without a folder has no rows."""
+    schema = SCHEMAS[kind]
+    folder = f"{root}/{kind}/service={spec.name}"
+    found = folder_schemas(spark, f"{root}/{kind}", folder)
+    reads, frames = [], {}
+    for own, paths in found.items():
+        columns = StructType.fromJson(json.loads(own))
+        reads.append(spark.read.schema(columns).option("basePath", f"{root}/{kind}").parquet(*paths))
+        for path in paths if len(found) > 1 else [folder]:
+            frames[f"{spec.name}.{kind}{path.removeprefix(folder)}"] = reads[-1]
+    require_columns(frames, read_columns(spec)[kind], 50001)
+    if not reads:
+        return normalise(spark.createDataFrame([], schema), schema, ids)
+    parts = [normalise(df.filter(F.col("service") == spec.name), schema, ids) for df in reads]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def folder_schemas(spark: SparkSession, base: str, folder: str) -> dict[str, list[str]]:
+    """The folders of files below ``folder``, by their schema (as JSON, with the
+    columns that stand in paths below ``base``). Only file footers are read; a
+    folder that is missing or holds no file gives none."""
+    try:
+        files = spark.read.option("basePath", base).parquet(folder).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+    name = folder.rpartition("/")[2]
+    leaves = sorted({folder + unquote(f).rpartition("/")[0].rpartition(name)[2] for f in files})
+
+    def own(leaf: str) -> str:
+        return spark.read.option("basePath", base).option("mergeSchema", True).parquet(leaf).schema.json()
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        schemas = list(pool.map(own, leaves))
+    out: dict[str, list[str]] = {}
+    for leaf, schema in zip(leaves, schemas, strict=True):
+        out.setdefault(schema, []).append(leaf)
+    return out
+
+
+def named_sources(
+    spark: SparkSession,
+    tables: Mapping[str, str | DataFrame],
+    persons: str | DataFrame,
+    residence: str | DataFrame,
+    places: str | DataFrame,
+    services=cat.SERVICES,
+    keys: Mapping[str, tuple[str, str, str]] = cat.SERVICE_TABLES,
+    columns: Mapping[str, Mapping[str, str]] = cat.SOURCE_COLUMNS,
+) -> Sources:
+    """Sources from one codes and one stays table per service, each under its own
+    name and with its own name of the stay key (``keys``: codes table, stays
+    table and key of a service).
+
+    ``tables`` says where a table is: by table name, a catalog name, a path, a
+    view, or a DataFrame (such as a JDBC read). ``columns`` gives the register's
+    name of each of our columns. A table must have the columns that its service
+    reads, else error 50001. One projection for each table renames and casts, so
+    column pruning and filters still reach the scans."""
+
+    def read(ref: str | DataFrame) -> DataFrame:
+        return ref if isinstance(ref, DataFrame) else read_table(spark, ref)
+
+    def one(spec: cat.ServiceSpec, kind: str, ids=()) -> DataFrame:
+        codes, stays, key = keys[spec.name]
+        name = codes if kind == "codes" else stays
+        if name not in tables:
+            raise KeyError(f"no table given for {name} ({spec.name} {kind}); given: {sorted(tables)}")
+        theirs = {**columns[kind], "stay_key": key}
+        df = read(tables[name])
+        wanted = read_columns(spec)[kind]
+        require_columns({name: df}, [theirs.get(c, c) for c in wanted], 50001)
+        return normalise(renamed(df, theirs), SCHEMAS[kind], ids)
+
+    return Sources(
+        codes={s.name: one(s, "codes") for s in services},
+        stays={s.name: one(s, "stays", STAY_TRIM) for s in services},
+        persons=normalise(renamed(read(persons), columns["persons"]), PERSONS, PERSON_TRIM),
+        residence=normalise(renamed(read(residence), columns["residence"]), RESIDENCE),
+        places=read(places),
+        services=tuple(services),
+    )
+
+
+def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """``df`` with the columns ``names`` (ours by theirs, any case) under our
+    names. A column that already has one of our names and is not theirs goes, so
+    that no name stands twice."""
+    have = {c.lower() for c in df.columns}
+    ours = {theirs.lower(): own for own, theirs in names.items()}
+    shadowed = {own.lower() for own, theirs in names.items() if theirs.lower() in have}
+    return df.select(
+        *[
+            F.col(f"`{c}`").alias(ours.get(c.lower(), c))
+            for c in df.columns
+            if c.lower() in ours or c.lower() not in shadowed
+        ]
+    )
 
 
 def fixture_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -144,4 +249,4 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     return src
 
 
-__all__ = ["Sources", "fixture_frames", "fixture_sources", "read_sources", "read_table", "PLACES"]
+__all__ = ["Sources", "fixture_frames", "fixture_sources", "named_sources", "read_sources", "read_table", "PLACES"]

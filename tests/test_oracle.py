@@ -37,4 +37,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns[:2] == ["Ar", "Bostedskommune"]
-    assert df.count() == 75
+    assert df.count() == 69

@@ -38,9 +38,9 @@ def test_stage_then_run(spark):
     for path in res.tables.values():
         assert os.path.isdir(f"{path}/parquet") and os.path.isdir(f"{path}/csv")
     som = spark.read.parquet(res.tables["SOM"] + "/parquet")
-    assert som.count() == 75
+    assert som.count() == 69
     control = {r["service"]: r for r in res.control}
-    assert control["SOM"]["output_rows"] == 75
+    assert control["SOM"]["output_rows"] == 69
     assert control["SOM"]["extract_rows"] == 78
     assert res.duplicate_places == 1
 

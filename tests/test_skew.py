@@ -65,20 +65,3 @@ def test_hot_keys_same_result_with_forced_splits(spark):
     assert hot and hot[0][11] == 1  # one person, counted once however many rows
     total = sum(r[11] for r in baseline)
     assert total == 1 + len({100 + k for k in range(2, 400) if k % 2 == 0})
-
-
-def test_distributed_lead_matches_window_on_hot_key(spark):
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from regstat.sources.fixtures import next_in_order
-
-    hot = spark.range(0, 30000, 1, 8).select(
-        F.col("id").alias("k"),
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("c"),
-        (F.col("id") * 7 % 1000).alias("d"),
-    )
-    a = next_in_order(hot, "c", ["d", "k"], "d")
-    b = hot.select("*", F.lead("d").over(Window.partitionBy("c").orderBy("d", "k")).alias("next_d"))
-    assert a.count() == 30000
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
