@@ -7,6 +7,7 @@ work is the guards' single-row look.
 
 from __future__ import annotations
 
+import re
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +30,23 @@ class CareLevelError(RuntimeError):
 # ---------------------------------------------------------------- precheck
 
 
-def _precheck_rows(codes: DataFrame, stays: DataFrame, spec: ServiceSpec, start: int, end: int):
-    """Relevant main-diagnosis code rows joined to stays on (key, year), with
-    the id filter but *no* care-level filter and no person join (S15)."""
+def precheck_pairs(
+    codes: DataFrame,
+    stays: DataFrame,
+    spec: ServiceSpec = cat.service("AVT"),
+    start: int = cat.START_YEAR,
+    end: int = cat.END_YEAR,
+) -> DataFrame:
+    """``care_level, stay_key, person_id, n_code_rows``: relevant main-diagnosis code
+    rows joined to stays on (key, year), with the id filter but *no* care-level
+    filter and no person join (S15), counted per level, stay and person. Code rows
+    are folded per (key, year) before the join, so a stay with very many of them
+    is one row by then."""
     c = main_diagnosis_rows(codes, spec, start, end).filter(cohort_predicate("code", spec))
-    s = stays.filter(valid_person_id("person_id")).select(
-        "stay_key", "year", "person_id", "care_level"
-    )
-    return c.select("stay_key", "year").join(s, ["stay_key", "year"], "inner")
+    c = c.groupBy("stay_key", "year").agg(F.count(F.lit(1)).alias("n"))
+    s = stays.filter(valid_person_id("person_id")).select("stay_key", "year", "person_id", "care_level")
+    joined = c.join(s, ["stay_key", "year"], "inner")
+    return joined.groupBy("care_level", "stay_key", "person_id").agg(F.sum("n").alias("n_code_rows"))
 
 
 def filter_status(care_level) -> F.Column:
@@ -44,6 +54,35 @@ def filter_status(care_level) -> F.Column:
     return F.when(care_level_ok(care_level), F.lit(IN_EXTRACT)).otherwise(F.lit(NOT_IN_EXTRACT))
 
 
+def precheck_counts(pairs: DataFrame) -> DataFrame:
+    """E2 from ``precheck_pairs``. Each distinct count has two levels of plain
+    aggregates over the pairs (whose exchange both branches share), and the two are
+    added up; ``countDistinct`` on two columns would copy every row (Expand)."""
+    zero = F.lit(0).cast("long")
+    per_stay = pairs.groupBy("care_level", "stay_key").agg(F.sum("n_code_rows").alias("n_code_rows"))
+    per_person = pairs.select("care_level", "person_id").distinct()
+    counted = per_stay.select("care_level", "n_code_rows", F.lit(1).alias("n_stays"), zero.alias("n_persons")).unionByName(
+        per_person.select("care_level", zero.alias("n_code_rows"), F.lit(0).alias("n_stays"), F.lit(1).cast("long").alias("n_persons"))
+    )
+    return (
+        counted.groupBy("care_level", filter_status("care_level").alias("status"))
+        .agg(*[F.sum(n).cast("long").alias(n) for n in ("n_code_rows", "n_stays", "n_persons")])
+        .orderBy(F.col("care_level").asc_nulls_last())
+    )
+
+
+def totals_of(pairs: DataFrame) -> DataFrame:
+    """E4 from ``precheck_pairs``, counted like ``precheck_counts``."""
+    kept = pairs.filter(care_level_ok("care_level"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    counted = (
+        kept.select("stay_key").distinct().select(one.alias("n_stays"), none.alias("n_persons")).unionByName(
+            kept.select("person_id").distinct().select(none.alias("n_stays"), one.alias("n_persons"))
+        )
+    )
+    return counted.agg(*[F.coalesce(F.sum(n), none).alias(n) for n in ("n_stays", "n_persons")])
+
+
 def care_level_precheck(
     codes: DataFrame,
     stays: DataFrame,
@@ -53,16 +92,7 @@ def care_level_precheck(
 ) -> DataFrame:
     """Per care level (NULL sorted last): code rows, distinct stays,
     distinct persons, and whether the level is in the extract."""
-    j = _precheck_rows(codes, stays, spec, start, end)
-    return (
-        j.groupBy("care_level", filter_status("care_level").alias("status"))
-        .agg(
-            F.count(F.lit(1)).alias("n_code_rows"),
-            F.countDistinct("stay_key").alias("n_stays"),
-            F.countDistinct("person_id").alias("n_persons"),
-        )
-        .orderBy(F.col("care_level").asc_nulls_last())
-    )
+    return precheck_counts(precheck_pairs(codes, stays, spec, start, end))
 
 
 def included_totals(
@@ -73,11 +103,7 @@ def included_totals(
     end: int = cat.END_YEAR,
 ) -> DataFrame:
     """Distinct stays and persons that pass the care-level filter."""
-    j = _precheck_rows(codes, stays, spec, start, end).filter(care_level_ok("care_level"))
-    return j.agg(
-        F.countDistinct("stay_key").alias("n_stays"),
-        F.countDistinct("person_id").alias("n_persons"),
-    )
+    return totals_of(precheck_pairs(codes, stays, spec, start, end))
 
 
 # ---------------------------------------------------------- quality checks
@@ -161,10 +187,8 @@ def residence_preview(wide: DataFrame, n: int = 5) -> DataFrame:
 
 
 def quality_checks(spark: SparkSession, extract: DataFrame, services=cat.SERVICES) -> dict[str, DataFrame]:
-    """The run's quality checks over the (unioned) extract, each a small
-    table (bounded by services, years, sexes or care levels). The residence
-    table holds one row per cohort person, so its distinct-person count is
-    the cohort's."""
+    """P8 over a (unioned) extract that is there already, one aggregate for each
+    check. ``run`` gets the same tables without a scan of their own (``seen_checks``)."""
     svc = service_list(spark, services)
     return {
         "persons_per_service_year": persons_per_service_year(extract),
@@ -177,12 +201,133 @@ def quality_checks(spark: SparkSession, extract: DataFrame, services=cat.SERVICE
     }
 
 
+# ------------------------------------------- metrics observed while writing
+#
+# The checks below are counted by ``DataFrame.observe`` in the very jobs that write
+# the extract, the cohort and the residence table, so none of them reads a
+# table again. They are bounded by services, years, sexes and care levels.
+
+SEX_LABELS = (cat.SEX_MEN, cat.SEX_WOMEN, cat.SEX_UNKNOWN)
+#: Years that one long value has a bit for.
+YEARS_PER_WORD = 62
+
+
+def extract_metrics(services=cat.SERVICES) -> list[F.Column]:
+    """E7-E10 and the rows of E13, over an extract as it is written."""
+    out = []
+    for s in services:
+        own = F.col("service") == s.name
+        out.append(F.count_if(own).alias(f"{s.name} rows"))
+        out += [F.count_if(own & (F.col("sex") == x)).alias(f"{s.name} sex {x}") for x in SEX_LABELS]
+        out += [F.count_if(own & (F.col("care_level") == x)).alias(f"{s.name} level {x}") for x in cat.CARE_LEVELS]
+        out.append(F.count_if(own & violation("care_level")).alias(f"{s.name} invalid"))
+        out.append(F.min(F.when(own, F.col("year"))).alias(f"{s.name} first"))
+        out.append(F.max(F.when(own, F.col("year"))).alias(f"{s.name} last"))
+    return out
+
+
+def _words(service: ServiceSpec, start: int, end: int) -> list[tuple[str, list[int]]]:
+    """The columns that hold a service's years, and the years in each."""
+    span = cat.years(start, end)
+    cuts = range(0, len(span), YEARS_PER_WORD)
+    return [(f"{service.name}_years{k or ''}", span[lo : lo + YEARS_PER_WORD]) for k, lo in enumerate(cuts)]
+
+
+def cohort_years(
+    extract: DataFrame, services=cat.SERVICES, start: int = cat.START_YEAR, end: int = cat.END_YEAR
+) -> DataFrame:
+    """P2 with a bitmap: one row per person, and for each service the years in which
+    the person is in the extract, as the bits of a long. One aggregate with a
+    partial step gives the cohort and every distinct count of persons."""
+    bits = []
+    for s in services:
+        for name, span in _words(s, start, end):
+            own = f"service = '{s.name}' AND year BETWEEN {span[0]} AND {span[-1]}"
+            bits.append(F.expr(f"bit_or(CASE WHEN {own} THEN shiftleft(1L, year - {span[0]}) ELSE 0L END)").alias(name))
+    return extract.groupBy("person_id").agg(*bits)
+
+
+def cohort_metrics(services=cat.SERVICES, start: int = cat.START_YEAR, end: int = cat.END_YEAR) -> list[F.Column]:
+    """E5, E6, E11 and the persons of E13, over ``cohort_years`` as it is written."""
+    out = [F.count(F.lit(1)).alias("persons")]
+    for s in services:
+        words = _words(s, start, end)
+        any_year = " OR ".join(f"{name} <> 0" for name, _ in words)
+        out.append(F.expr(f"count_if({any_year})").alias(f"{s.name} persons"))
+        for name, span in words:
+            out += [F.expr(f"count_if((shiftright({name}, {y - span[0]}) & 1) = 1)").alias(f"{s.name} persons {y}") for y in span]
+    return out
+
+
+def seen_checks(spark: SparkSession, seen: dict, services=cat.SERVICES, start: int = cat.START_YEAR, end: int = cat.END_YEAR):
+    """P8 from what ``extract_metrics`` and ``cohort_metrics`` saw: the same tables,
+    with the same columns and types, as ``quality_checks`` gives."""
+
+    def small(rows: list[tuple], kind: str) -> DataFrame:
+        return spark.createDataFrame(rows, kind)
+
+    def counted(name: str, values, kind: str) -> DataFrame:
+        rows = [(s.name, v, seen[f"{s.name} {name} {v}"]) for s in services for v in values]
+        return small([r for r in rows if r[2]], kind)
+
+    return {
+        "persons_per_service_year": counted("persons", cat.years(start, end), "service string, year int, n_persons long"),
+        "persons_per_service": small([(s.name, seen[f"{s.name} persons"]) for s in services], "service string, n_persons long"),
+        "year_span": small(
+            [(s.name, seen[f"{s.name} first"], seen[f"{s.name} last"]) for s in services],
+            "service string, min_year int, max_year int",
+        ),
+        "sex_distribution": counted("sex", SEX_LABELS, "service string, sex string, n long"),
+        "care_level_distribution": counted("level", cat.CARE_LEVELS, "service string, care_level int, n long"),
+        "rule_violations": small(
+            [(s.name, seen[f"{s.name} invalid"]) for s in services if seen[f"{s.name} invalid"]], "service string, n_invalid long"
+        ),
+        "residence_persons": small([(seen["persons"],)], "n_persons long"),
+    }
+
+
+def seen_control(spark: SparkSession, seen: dict, profile_rows: DataFrame, services=cat.SERVICES) -> DataFrame:
+    """P9 / E13 as ``control_table`` gives it: the extract's numbers as seen, the
+    rest from the (small) profile rows."""
+    rows = [
+        (s.name, s.label, i, seen[f"{s.name} rows"], seen[f"{s.name} persons"], seen[f"{s.name} level 1"], seen[f"{s.name} level 2"])
+        for i, s in enumerate(services)
+    ]
+    known = spark.createDataFrame(
+        rows,
+        "service string, label string, service_order int, extract_rows long, extract_persons long, "
+        "rows_care_level_1 long, rows_care_level_2 long",
+    )
+    return _control(known, profile_rows)
+
+
 # ------------------------------------------------------------------ guards
 
 
+#: Marks the guard's error where it is raised inside a Spark job.
+GUARD = "care level guard:"
+
+
+def guarded(extract: DataFrame) -> DataFrame:
+    """A17 inside the plan: ``extract`` unchanged, and a job that reads the care
+    level of a row outside (1, 2), or NULL, fails (see ``guard_error``)."""
+    level = F.coalesce(F.col("care_level").cast("string"), F.lit("None"))
+    said = F.concat(
+        F.lit(f"{GUARD} service "), F.col("service"), F.lit(" has care level "), level, F.lit(f" outside {cat.CARE_LEVELS}")
+    )
+    checked = F.when(violation("care_level"), F.raise_error(said).cast("int")).otherwise(F.col("care_level"))
+    return extract.withColumn("care_level", checked)
+
+
+def guard_error(failure: Exception) -> CareLevelError | None:
+    """The guard's error in the failure of a job that wrote ``guarded`` rows."""
+    found = re.search(rf"{GUARD} (service \S+ has care level .*? outside \([0-9, ]+\))", str(failure))
+    return CareLevelError(found[1]) if found else None
+
+
 def guard_care_levels(extract: DataFrame) -> None:
-    """Stop if any extract row has a care level outside (1, 2) or NULL.
-    One job over the union; only one offending row reaches the driver."""
+    """A17 for an extract that is there already: one job over the union; only one
+    offending row reaches the driver."""
     bad = extract.filter(violation("care_level")).select("service", "care_level").limit(1).collect()
     if bad:
         r = bad[0]
@@ -227,6 +372,10 @@ def control_table(extract: DataFrame, profile_rows: DataFrame, services: DataFra
         F.count_if(F.col("care_level") == 1).alias("rows_care_level_1"),
         F.count_if(F.col("care_level") == 2).alias("rows_care_level_2"),
     )
+    return _control(services.join(a, "service", "left"), profile_rows)
+
+
+def _control(known: DataFrame, profile_rows: DataFrame) -> DataFrame:
     c = profile_rows.groupBy("service").agg(
         F.sum("n_rows").alias("rows_with_residence"),
         F.count(F.lit(1)).alias("output_rows"),
@@ -235,8 +384,7 @@ def control_table(extract: DataFrame, profile_rows: DataFrame, services: DataFra
     )
     counts = ["extract_rows", "extract_persons", "rows_care_level_1", "rows_care_level_2",
               "rows_with_residence", "output_rows"]
-    t = services.join(a, "service", "left").join(c, "service", "left")
-    return t.orderBy("service_order").select(
+    return known.join(c, "service", "left").orderBy("service_order").select(
         F.col("label").alias("service"),
         *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in counts],
         "min_year",

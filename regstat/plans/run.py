@@ -1,16 +1,22 @@
-"""P10: the whole statistics run, from sources to the delivered table set.
+"""P10: the whole run, from sources to the delivered table set.
 
 Stages and what crosses them:
 
   1. schema guards (no job)            stays must have care_level
-  2. extracts, all services, one job   written to the work folder, read back
-  3. guard on the written extract      one row at most reaches the driver
-  4. residence by year for the cohort  written to the work folder, read back
-  5. profiles, all services, one pass  written, then split by service
-  6. control table, precheck           small aggregates, written
+  2. extracts, all services, one job   written to the work folder, read back; the
+                                       care-level guard and the row checks are
+                                       part of this job
+  3. cohort with its years             written; the first pass over the extract,
+                                       and every distinct count of persons
+  4. residence by year for the cohort  written; counted in the same job
+  5. profiles, all services, one pass  written, then split by service; the
+                                       second and last pass over the extract
+  6. control table, precheck, checks   from what was seen, and small aggregates
+  7. the version of the delivery       published when all its tables are there
 
 Intermediate tables live under the shared checkpoint folder the cluster
-names in ``spark.checkpoint.dir``, or under the output folder when unset. Reading them back cuts lineage: a lost executor recomputes at most
+names in ``spark.checkpoint.dir``, or under the output folder when unset. Reading them
+back cuts lineage: a lost executor recomputes at most
 one stage from a written table, never the whole run.
 """
 
@@ -21,7 +27,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
@@ -29,13 +35,14 @@ from regstat.operators import checks, episodes, places, residence, tabulate
 from regstat.session import apply_recommended, configured_checkpoint_dir
 from regstat.sources.readers import Sources
 from regstat.sources.schemas import require_columns
-from regstat.sources.sinks import write_delivery, write_table
+from regstat.sources.sinks import drop_old_versions, new_version, publish, version_dir, write_delivery, write_table
 
 
 @dataclass
 class RunResult:
     out_dir: str
     work_dir: str
+    version: str = ""
     tables: dict[str, str] = field(default_factory=dict)
     control: list[dict] = field(default_factory=list)
     empty_services: list[str] = field(default_factory=list)
@@ -56,6 +63,15 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _observed(spark: SparkSession, df: DataFrame, metrics: list, path: str, partition_by=None) -> tuple[DataFrame, dict]:
+    """``_materialise``, and the metrics of the rows that the job wrote. They are
+    taken in the writing stage, where each partition counts once, however often
+    its task had to run."""
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    back = _materialise(spark, df.observe(seen, *metrics), path, partition_by)
+    return back, seen.get
+
+
 def run(
     spark: SparkSession,
     sources: Sources,
@@ -65,9 +81,12 @@ def run(
     run_date: str | None = None,
     csv: bool = True,
     wide_residence: bool = False,
+    keep_versions: int = 2,
 ) -> RunResult:
-    """Run every step and write the delivered tables under
-    ``out/profiles_<start>_<end>_<run_date>``. The written extract and
+    """Run every step and write the delivered tables as the new version of
+    ``out/profiles_<start>_<end>_<run_date>`` (read them by
+    ``sinks.read_delivery``, or by the paths in ``RunResult.tables``); the data of
+    all but the newest ``keep_versions`` go. The written extract and
     residence tables are listed in ``RunResult.tables`` too (``extract``,
     ``residence_by_year``); ``wide_residence`` also writes the 28-column
     residence table (P4) next to the delivered ones."""
@@ -75,7 +94,9 @@ def run(
     base = configured_checkpoint_dir(spark) or f"{out.rstrip('/')}/_work"
     work = f"{base.rstrip('/')}/regstat-work-{uuid.uuid4().hex[:12]}"
     out_dir = f"{out.rstrip('/')}/profiles_{start}_{end}_{run_date}"
-    res = RunResult(out_dir=out_dir, work_dir=work)
+    version = new_version()
+    data_dir = version_dir(out_dir, version)
+    res = RunResult(out_dir=out_dir, work_dir=work, version=version)
 
     t0 = [time.time()]
 
@@ -87,25 +108,40 @@ def run(
     # 1. guards on schemas only
     sources.check()
 
-    # 2. extracts of all services (P1 x 5, H3) - one job, partitioned by service
-    extract = _materialise(spark, episodes.extract_all(sources, start, end), f"{work}/extract", ["service"])
-    require_columns({"extract": extract}, ["care_level"], 50002)  # A14
+    # 2. extracts of all services (P1 x 5, H3) - one job, partitioned by service,
+    #    with the value guard (A17) and the row checks (E7-E10) in it
+    plan = episodes.extract_all(sources, start, end)
+    require_columns({"extract": plan}, ["care_level"], 50002)  # A14
+    try:
+        extract, seen = _observed(
+            spark, checks.guarded(plan), checks.extract_metrics(sources.services), f"{work}/extract", ["service"]
+        )
+    except Exception as e:
+        failed = checks.guard_error(e)
+        if failed is None:
+            raise
+        raise failed from e
     mark("extract")
 
-    # 3. value guard
-    checks.guard_care_levels(extract)
-    mark("guard")
+    # 3. cohort (P2) and the distinct counts of persons
+    people, counted = _observed(
+        spark,
+        checks.cohort_years(extract, sources.services, start, end),
+        checks.cohort_metrics(sources.services, start, end),
+        f"{work}/cohort",
+    )
+    seen = {**seen, **counted}
+    mark("cohort")
 
-    # 4. residence for the cohort
-    res_year = _materialise(
+    # 4. residence for the cohort (P3). The cohort is a written table of distinct
+    #    ids: without an aggregate above it AQE can split a hot person
+    res_year, counted = _observed(
         spark,
-        # plain ids: a semi join needs no distinct right side, and without an
-        # aggregate there AQE can split a hot person
-        residence.residence_by_year(extract.select("person_id"), sources.residence, start, end),
+        residence.residence_by_year(people.select("person_id"), sources.residence, start, end),
+        [F.count(F.lit(1)).alias("rows")],
         f"{work}/residence_by_year",
     )
-
-    res.residence_rows = res_year.count()  # E15, from the written table
+    res.residence_rows = counted["rows"]  # E15
     mark("residence")
 
     # places (P5) and duplicate warning
@@ -124,17 +160,20 @@ def run(
     delivered = {s.label: tabulate.split_profile(all_profiles, s, sort=False) for s in sources.services}
     mark("profiles")
 
-    # 6. control table (P9), precheck
-    svc = checks.service_list(spark, sources.services)
+    # 6. control table (P9), precheck (P7), checks
     control_name, precheck_name = cat.CONTROL_TABLE_NAME, cat.PRECHECK_TABLE_NAME
-    delivered[control_name] = _headers(checks.control_table(extract, all_profiles, svc), cat.CONTROL_HEADERS)
+    delivered[control_name] = _headers(
+        checks.seen_control(spark, seen, all_profiles, sources.services), cat.CONTROL_HEADERS
+    )
     avt = cat.service("AVT")
-    delivered[precheck_name] = _headers(
-        checks.care_level_precheck(sources.codes[avt.name], sources.stays[avt.name], avt, start, end),
-        cat.PRECHECK_HEADERS,
+    pairs = _materialise(
+        spark, checks.precheck_pairs(sources.codes[avt.name], sources.stays[avt.name], avt, start, end), f"{work}/precheck"
     )
-    quality = checks.quality_checks(spark, extract, sources.services)  # P8
+    delivered[precheck_name] = _headers(checks.precheck_counts(pairs), cat.PRECHECK_HEADERS)
+    quality = checks.seen_checks(spark, seen, sources.services, start, end)
+    quality["included_totals"] = checks.totals_of(pairs)
     delivered.update({f"checks/{k}": v for k, v in quality.items()})
+    mark("checks")
     labels = F.array(*[F.lit(s.label) for s in sources.services])
     profile_order = ["Bostedskommune", "Kjonn", F.col("Alder").asc_nulls_last()]
     orders = {s.label: profile_order for s in sources.services}
@@ -144,24 +183,29 @@ def run(
     orders["checks/persons_per_service_year"] = ["service", "year"]
     orders["checks/sex_distribution"] = ["service", "sex"]
     orders["checks/care_level_distribution"] = ["service", F.col("care_level").asc_nulls_last()]
-    write_delivery(delivered, out_dir, csv=csv, orders=orders)
+    write_delivery(delivered, data_dir, csv=csv, orders=orders)
     mark("delivery")
-    res.tables = {name: f"{out_dir}/{name}" for name in delivered}
+    res.tables = {name: f"{data_dir}/{name}" for name in delivered}
     res.tables["extract"] = f"{work}/extract"
     res.tables["residence_by_year"] = f"{work}/residence_by_year"
     if wide_residence:
-        wide = residence.residence_wide(residence.cohort(extract), sources.residence, start, end)
-        write_table(wide, f"{out_dir}/residence_wide")
-        res.tables["residence_wide"] = f"{out_dir}/residence_wide"
+        wide = residence.residence_wide(people.select("person_id"), sources.residence, start, end)
+        write_table(wide, f"{data_dir}/residence_wide/parquet")
+        res.tables["residence_wide"] = f"{data_dir}/residence_wide"
 
     back = {h: c for c, h in cat.CONTROL_HEADERS}
-    control = spark.read.parquet(f"{out_dir}/{control_name}/parquet")
+    control = spark.read.parquet(f"{data_dir}/{control_name}/parquet")
     control = control.select(*[F.col(h).alias(back[h]) for h in back])
     res.empty_services = checks.warn_empty_services(control)  # A18
     res.control = [
         r.asDict() for r in control.orderBy(F.array_position(labels, F.col("service"))).collect()
     ]  # one row per service
     mark("control_readback")
+
+    # 7. from here on readers get this version
+    publish(spark, out_dir, version, [n for n in res.tables if n not in ("extract", "residence_by_year")])
+    drop_old_versions(spark, out_dir, keep_versions)
+    mark("publish")
     return res
 
 

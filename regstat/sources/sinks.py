@@ -1,13 +1,18 @@
 """Writers: staged sources, intermediate tables and the delivered result set.
 
-Every write is ``mode("overwrite")`` so a rerun replaces the previous output
-(a rerun drops and recreates its tables). Paths are on the shared file
-system the caller names; nothing goes to a machine-local folder.
+A delivery replaces the one before as a whole. Each run writes a version of its own
+under ``<out>/data/<version>``; when all its tables are there, one row appended to
+``<out>/versions`` makes it the current one. A run that ends before leaves the
+version before in place and readable. Paths are on the shared file system
+the caller names; nothing goes to a machine-local folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(
@@ -63,7 +68,60 @@ def _by_year(df: DataFrame, order: list) -> DataFrame:
     """Whole years per file, sorted within: a year of a delivered table is
     bounded by its cells (municipalities x sexes x ages), not by register
     volume."""
-    return df.repartitionByRange("Ar").sortWithinPartitions("Ar", *order)
+    return df.repartition("Ar").sortWithinPartitions("Ar", *order)
+
+
+_VERSION = "seq long, version string, tables array<string>"
+
+
+def new_version() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def version_dir(out: str, version: str) -> str:
+    return f"{out.rstrip('/')}/data/{version}"
+
+
+def versions(spark: SparkSession, out: str) -> list[tuple[str, list[str]]]:
+    """The published versions of a delivery and their tables, newest first: one
+    row for each run, so few."""
+    try:
+        rows = spark.read.schema(_VERSION).parquet(f"{out.rstrip('/')}/versions").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    return [(r["version"], r["tables"]) for r in sorted(rows, key=lambda r: (-r["seq"], r["version"]))]
+
+
+def publish(spark: SparkSession, out: str, version: str, tables: list[str]) -> None:
+    """Make a version whose tables are all written the current one: a single
+    row, in a file that its commit lets appear at once."""
+    row = [(len(versions(spark, out)), version, sorted(tables))]
+    spark.createDataFrame(row, _VERSION).coalesce(1).write.mode("append").parquet(f"{out.rstrip('/')}/versions")
+
+
+def read_delivery(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A table of the current version."""
+    found = versions(spark, out)
+    if not found:
+        raise FileNotFoundError(f"no published delivery under {out}")
+    version, tables = found[0]
+    if name not in tables:
+        raise KeyError(f"no table {name} in the delivery under {out}; it has {tables}")
+    return spark.read.parquet(f"{version_dir(out, version)}/{name}/parquet")
+
+
+def drop_old_versions(spark: SparkSession, out: str, keep: int = 1) -> list[str]:
+    """Delete the data of published versions but the newest ``keep``; returns
+    their names. Their rows in ``versions`` stay, as the delivery's history. Needs a
+    session with a JVM of its own."""
+    old = [version for version, _ in versions(spark, out)[max(1, keep) :]]
+    conf, fs_path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    for version in old:
+        path = fs_path(version_dir(out, version))
+        path.getFileSystem(conf).delete(path, True)
+    return old
 
 
 def write_delivery(
