@@ -246,6 +246,31 @@ def episodes(
     return collapse(stay_rows(codes, stays, spec, start, end, flags), persons, flags)
 
 
+#: Parts that the rows of an episode are dealt to before its window.
+WINDOW_PARTS = 64
+
+
+def windowed_parts(marked: DataFrame, flags) -> DataFrame:
+    """First phase of F1 + F2: of each part of an episode's rows the first one under
+    the pick order, with the maximum of every flag over the part. Rows are dealt to
+    ``WINDOW_PARTS`` parts in turn, so no task holds a hot episode and at most so
+    many rows of it are left. Maximum and first row of a whole are those of
+    its parts, however the rows were dealt."""
+    dealt = marked.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(WINDOW_PARTS)))
+    return _first_of(dealt, ["episode_id", "__part"], flags)
+
+
+def _first_of(rows: DataFrame, keys: list[str], flags) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    order = [F.col(n).asc_nulls_last() if nullable else F.col(n).asc() for n, nullable in PICK_ORDER]
+    ranked = rows.select(
+        *EPISODE_COLUMNS,
+        *[F.max(g).over(whole).alias(g) for g in flags],
+        F.row_number().over(whole.orderBy(*order)).alias("episode_row"),
+    )
+    return ranked.filter(F.col("episode_row") == 1).drop("episode_row")
+
+
 def episodes_window(
     codes: DataFrame,
     stays: DataFrame,
@@ -255,21 +280,11 @@ def episodes_window(
     end: int = cat.END_YEAR,
 ) -> DataFrame:
     """The same result in window form (F1 + F2): MAX(flag) over the episode and
-    ROW_NUMBER() = 1 under the fixed pick order. Kept for equivalence tests
-    and the benchmark; ``episodes`` is the plan to use: a window keeps every
-    row of an episode in one task, while the aggregate form folds a hot key
-    map-side before the shuffle."""
+    ROW_NUMBER() = 1 under the fixed pick order, in two phases: over the parts of
+    each episode, then over what the parts have left. ``episodes`` is the cheaper
+    plan, since it folds an episode before any shuffle."""
     m = marked_rows(codes, stays, persons, spec, start, end)
-    whole = Window.partitionBy("episode_id")
-    order = []
-    for name, nullable in PICK_ORDER:
-        order.append(F.col(name).asc_nulls_last() if nullable else F.col(name).asc())
-    ranked = m.select(
-        *EPISODE_COLUMNS,
-        *[F.max(g).over(whole).alias(g) for g in spec.group_names],
-        F.row_number().over(whole.orderBy(*order)).alias("episode_row"),
-    )
-    return ranked.filter(F.col("episode_row") == 1).drop("episode_row")
+    return _first_of(windowed_parts(m, spec.group_names), ["episode_id"], spec.group_names)
 
 
 def extract_all(sources, start: int = cat.START_YEAR, end: int = cat.END_YEAR) -> DataFrame:

@@ -96,10 +96,15 @@ def residence_wide(
     residence: DataFrame,
     start: int = cat.START_YEAR,
     end: int = cat.END_YEAR,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """One row per cohort person, raw MAX code on each of the 28
-    dates. Persons with no residence keep an all-NULL row (left join)."""
-    snap = snapshots(cohort_ids, residence, start, end)
+    dates. Persons with no residence keep an all-NULL row (left join).
+
+    The history is cut to ``ids`` (the cohort's ids with repeats, if given): a semi
+    join needs no distinct right side, and AQE can split a hot person only where
+    no aggregate lies above the join's exchange. A written cohort needs none."""
+    snap = snapshots(cohort_ids if ids is None else ids, residence, start, end)
     yrs = cat.years(start, end)
     aggs = [F.expr(f"max(CASE WHEN year = {y} THEN jan1 END)").alias(f"jan1_{y}") for y in yrs]
     aggs += [F.expr(f"max(CASE WHEN year = {y} THEN dec31 END)").alias(f"dec31_{y}") for y in yrs]

@@ -177,13 +177,13 @@ def residence_by_year(spark, sf_dir):
 def residence_wide(spark, sf_dir):
     """28 dated columns, all-NULL rows kept."""
     src, e = _extract(spark, sf_dir)
-    return residence.residence_wide(residence.cohort(e), src.residence)
+    return residence.residence_wide(residence.cohort(e), src.residence, ids=e.select("person_id"))
 
 
 def residence_by_year_from_wide(spark, sf_dir):
     """H6: the wide table unpivoted with stack; equals residence_by_year."""
     src, e = _extract(spark, sf_dir)
-    return residence.wide_to_long(residence.residence_wide(residence.cohort(e), src.residence))
+    return residence.wide_to_long(residence.residence_wide(residence.cohort(e), src.residence, ids=e.select("person_id")))
 
 
 def places_clean(spark, sf_dir):
@@ -281,13 +281,13 @@ def stay_rule_violations(spark, sf_dir):
 def residence_persons(spark, sf_dir):
     """E11."""
     src, e = _extract(spark, sf_dir)
-    return checks.residence_persons(residence.residence_wide(residence.cohort(e), src.residence))
+    return checks.residence_persons(residence.residence_wide(residence.cohort(e), src.residence, ids=e.select("person_id")))
 
 
 def residence_preview(spark, sf_dir):
     """G4, ordered by person."""
     src, e = _extract(spark, sf_dir)
-    return checks.residence_preview(residence.residence_wide(residence.cohort(e), src.residence))
+    return checks.residence_preview(residence.residence_wide(residence.cohort(e), src.residence, ids=e.select("person_id")))
 
 
 def control_table(spark, sf_dir):

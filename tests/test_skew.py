@@ -65,3 +65,49 @@ def test_hot_keys_same_result_with_forced_splits(spark):
     assert hot and hot[0][11] == 1  # one person, counted once however many rows
     total = sum(r[11] for r in baseline)
     assert total == 1 + len({100 + k for k in range(2, 400) if k % 2 == 0})
+
+
+def _split_plan(spark, build):
+    """The rows of ``build()`` without and with forced splits, and the second plan."""
+    before = sorted(map(str, build().collect()))
+    saved = {k: spark.conf.get(k) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        df = build()
+        after = sorted(map(str, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    return before, after, plan
+
+
+def test_hot_person_is_split_in_the_residence_join_alone(spark):
+    _, src = _hot_sources(spark)
+    ids = spark.createDataFrame([("11",)] * 50 + [(str(100 + k),) for k in range(2, 300)], "person_id string").cache()
+    before, after, plan = _split_plan(spark, lambda: residence.residence_by_year(ids, src.residence))
+    assert before == after and len(before) > 298 * 14
+    assert "SortMergeJoin(skew=true)" in plan
+
+    def wide():
+        return residence.residence_wide(ids.distinct(), src.residence, ids=ids)
+
+    before, after, plan = _split_plan(spark, wide)
+    assert before == after and len(before) == 299
+    assert "SortMergeJoin(skew=true)" in plan
+    assert before == sorted(map(str, residence.residence_wide(ids.distinct(), src.residence).collect()))
+
+
+def test_window_form_deals_a_hot_episode_to_many_tasks(spark):
+    phv, src = _hot_sources(spark)
+    args = (src.codes["PHV"], src.stays["PHV"], src.persons, phv)
+    marked = episodes.marked_rows(*args)
+    hot = "episode_id = 'PHV1'"
+    assert marked.filter(hot).count() == 3000
+    parts = episodes.windowed_parts(marked, phv.group_names)
+    left = parts.filter(hot).count()
+    assert 1 < left <= episodes.WINDOW_PARTS
+    window = sorted(map(str, episodes.episodes_window(*args).collect()))
+    assert window == sorted(map(str, episodes.episodes(*args).select(*marked.columns[1:]).collect()))
+    assert len(window) == 399
