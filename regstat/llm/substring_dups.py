@@ -18,9 +18,16 @@ the suffixes in order drops each suffix whose next smaller one was just
 placed into its group's next free place; nothing is renamed. Neighbours that
 agree in their first ``LENGTH`` bytes are equal strings.
 
+*Hot strings.* A task that reads texts keeps only the first of equal segments; all
+others are removed there and then, so a passage in very many documents is one
+record a task. Where more than ``HOT`` different segments share a gram (a common line
+with other text around it), their strings meet by their hashes in a partial
+minimum instead of a suffix array in one task.
+
 Defined results: null and empty texts, and texts under ``LENGTH`` bytes,
-lose nothing; a copy of a whole text loses all of it; document ids are taken
-to be unique and not null (rows that repeat one share their removals); an
+lose nothing; a copy of a whole text loses all of it. Rows that repeat an id are
+documents of their own, one after the other, so the first of repeated rows keeps
+what is new in it; rows without an id come before all others. An
 empty table gives an empty table; other columns are not looked at.
 """
 
@@ -34,12 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm import common as c
+from regstat.llm import merkle
 
 LENGTH = 100
 GRAM = 40
 SPAN = LENGTH - GRAM + 1  # grams in a string
 #: Anchors that a task holds before it deals them out.
 HELD = 1 << 20
+#: Different segments of one gram that one task compares by a suffix array.
+HOT = 4096
+#: Kinds of records: removed segments; first segments that share a gram with
+#: another one; the same where there are more than ``HOT``; not yet met.
+GONE, SHARED, CROWDED, UNMET = range(4)
 
 _CODES = c.byte_codes(1)
 _CODES2 = c.byte_codes(11)
@@ -94,18 +107,42 @@ def anchors(block: c.Block) -> np.ndarray:
     return out
 
 
+def ordered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Segments by gram, key and place, and which are the first of equal ones."""
+    found = found[np.lexsort((found["at"], found["doc"], found["key"], found["gram"]))]
+    first = np.ones(len(found), bool)
+    first[1:] = (found["key"][1:] != found["key"][:-1]) | (found["gram"][1:] != found["gram"][:-1])
+    return found, first
+
+
+def packed(found: np.ndarray, kind: int, part: np.ndarray) -> pa.RecordBatch:
+    """Records by the part that each goes to, many to a row."""
+    order = np.argsort(part, kind="stable")
+    found, part = found[order], part[order]
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    data = [found[a:b].tobytes() for a, b in zip(edges, np.append(edges, len(found))[1:], strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[edges], pa.int32()), pa.array(np.full(len(edges), kind), pa.int32()), pa.array(data, pa.binary())],
+        ["part", "kind", "data"],
+    )
+
+
+_PACKED = "part int, kind int, data binary"
+
+
+def part_of(values: np.ndarray, parts: int) -> np.ndarray:
+    return (c.mix(values.astype(c.U64)) % c.U64(parts)).astype(np.int64)
+
+
 def dealt(docs: DataFrame, parts: int) -> DataFrame:
-    """``part, data``: anchors dealt by their gram, many to a row."""
+    """First segments of each task's texts by their gram, and by their document
+    those that an earlier one in the task equals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-            every = np.concatenate(held)
-            part = (c.mix(every["gram"]) % c.U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            every, part = every[order], part[order]
-            edges = np.flatnonzero(np.diff(part, prepend=-1))
-            data = [every[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(every)], strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
+        def rows(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            every, first = ordered(np.concatenate(held))
+            yield packed(every[first], UNMET, part_of(every["gram"][first], parts))
+            yield packed(every[~first], GONE, part_of(every["doc"][~first], parts))
 
         held: list[np.ndarray] = []
         size = 0
@@ -113,46 +150,59 @@ def dealt(docs: DataFrame, parts: int) -> DataFrame:
             held.append(anchors(block))
             size += len(held[-1])
             if size >= HELD:
-                yield rows(held)
+                yield from rows(held)
                 held, size = [], 0
         if size:
-            yield rows(held)
-
-    return docs.mapInArrow(run, "part int, data binary").repartition(parts, "part")
+            yield from rows(held)
 
+    return docs.mapInArrow(run, _PACKED).repartition(parts, "part")
 
-def by_document(found: np.ndarray, kind: int) -> pa.RecordBatch:
-    """Records as one row per document: ``doc_id, kind, data``."""
-    found = found[np.argsort(found["doc"], kind="stable")]
-    edges = np.flatnonzero(np.diff(found["doc"], prepend=np.iinfo(np.int64).min))
-    data = [found[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(found)], strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(found["doc"][edges]), pa.array(np.full(len(edges), kind), pa.int32()), pa.array(data, pa.binary())],
-        ["doc_id", "kind", "data"],
-    )
 
-
-def met(parts: DataFrame) -> DataFrame:
-    """From dealt anchors: ``kind`` 0, segments equal to an earlier one;
-    ``kind`` 1, first segments that share a gram with a different one."""
+def met(rows: DataFrame, parts: int) -> DataFrame:
+    """From dealt segments, by their document: those equal to an earlier
+    one, and first segments that share a gram with a different one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = [np.frombuffer(x, ANCHOR) for batch in batches for x in batch.column("data").to_pylist()]
+        raw = []
+        for batch in batches:
+            unmet = pa.array(batch.column("kind").to_numpy() == UNMET)
+            raw += [np.frombuffer(x, ANCHOR) for x in batch.filter(unmet).column("data").to_pylist()]
+            yield batch.filter(pa.array(batch.column("kind").to_numpy() != UNMET))  # by document already
         if not raw:
             return
         every = np.concatenate(raw)
         del raw
-        every = every[np.lexsort((every["at"], every["doc"], every["key"], every["gram"]))]
-        new_gram = np.ones(len(every), bool)
-        new_gram[1:] = every["gram"][1:] != every["gram"][:-1]
-        first = new_gram.copy()
-        first[1:] |= every["key"][1:] != every["key"][:-1]
-        yield by_document(every[~first], 0)
-        firsts, heads = every[first], np.flatnonzero(new_gram[first])
+        every, first = ordered(every)
+        yield packed(every[~first], GONE, part_of(every["doc"][~first], parts))
+        firsts = every[first]
+        heads = np.flatnonzero(np.diff(firsts["gram"], prepend=firsts["gram"][0] + c.U64(1)))
         size = np.diff(np.append(heads, len(firsts)))
-        yield by_document(firsts[np.repeat(size > 1, size)], 1)
+        size = np.repeat(size, size)
+        for kind, own in ((SHARED, (size > 1) & (size <= HOT)), (CROWDED, size > HOT)):
+            yield packed(firsts[own], kind, part_of(firsts["doc"][own], parts))
+
+    return by_document(rows.mapInArrow(run, _PACKED), parts)
+
 
-    return parts.mapInArrow(run, "doc_id long, kind int, data binary")
+def by_document(rows: DataFrame, parts: int) -> DataFrame:
+    """``doc_id, kind, data``: one row for each document and kind of record."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for kind, x in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                held.setdefault(kind, []).append(np.frombuffer(x, ANCHOR))
+        for kind, found in sorted(held.items()):
+            every = np.concatenate(found)
+            every = every[np.argsort(every["doc"], kind="stable")]
+            edges = np.flatnonzero(np.diff(every["doc"], prepend=every["doc"][0] - 1))
+            data = [every[a:b].tobytes() for a, b in zip(edges, np.append(edges, len(every))[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(every["doc"][edges]), pa.array(np.full(len(edges), kind), pa.int32()), pa.array(data, pa.binary())],
+                ["doc_id", "kind", "data"],
+            )
+
+    return rows.repartition(parts, "part").mapInArrow(run, "doc_id long, kind int, data binary")
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -258,8 +308,7 @@ def repeats(segments: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
 
 def segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``gram, doc_id, at, raw`` of the wanted segments, from the texts."""
-    asked = wanted.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("data").alias("data"))
-    both = docs.join(asked, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "data")
+    both = docs.join(wanted.select(F.col("doc_id").alias("__id"), "data"), F.col("doc_id") == F.col("__id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +316,7 @@ def segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 gram, doc, at, raw = [], [], [], []
                 for r in batch.slice(lo, 200).to_pylist():
                     text = r["text"].encode()
-                    for a in np.concatenate([np.frombuffer(x, ANCHOR) for x in r["data"]]):
+                    for a in np.frombuffer(r["data"], ANCHOR):
                         gram.append(int(a["gram"].view(np.int64)))
                         doc.append(r["doc_id"])
                         at.append(int(a["at"]))
@@ -277,20 +326,24 @@ def segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["gram", "doc_id", "at", "raw"],
                 )
 
-    return both.mapInArrow(run, "gram long, doc_id long, at int, raw binary")
+    return both.select("doc_id", "text", "data").mapInArrow(run, "gram long, doc_id long, at int, raw binary")
 
 
-def compared(rows: DataFrame) -> DataFrame:
+def singles(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Strings as segments of one string each."""
+    out = np.zeros(len(doc), ANCHOR)
+    out["doc"], out["at"], out["n"] = doc, at, 1
+    return out
+
+
+def compared(rows: DataFrame, parts: int) -> DataFrame:
     """Repeated strings among segments that share a gram, one suffix array
-    per group."""
+    per group of at most ``HOT``, by their document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            out = np.zeros(len(found), ANCHOR)
-            if found:
-                out["doc"], out["at"] = np.array(found, np.int64).T
-            out["n"] = 1
-            return by_document(out, 0)
+            out = singles(*np.array(found, np.int64).reshape(-1, 2).T)
+            return packed(out, GONE, part_of(out["doc"], parts))
 
         gram, group, found = None, [], []
         for batch in batches:
@@ -305,19 +358,69 @@ def compared(rows: DataFrame) -> DataFrame:
         found += repeats(group) if len(group) > 1 else []
         yield result(found)
 
-    ordered = rows.repartition("gram").sortWithinPartitions("gram", "doc_id", "at")
-    return ordered.mapInArrow(run, "doc_id long, kind int, data binary")
+    in_order = rows.repartition("gram").sortWithinPartitions("gram", "doc_id", "at")
+    return by_document(in_order.mapInArrow(run, _PACKED), parts)
+
+
+def crowded(rows: DataFrame, parts: int) -> DataFrame:
+    """Repeated strings among the segments of hot grams: each string by two
+    hashes, the first place of each by a partial minimum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                raw = part.column("raw").to_pylist()
+                sizes = np.array([len(x) for x in raw], np.int64)
+                buf, ends = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes)
+                own = np.repeat(np.arange(len(raw)), sizes - LENGTH + 1)
+                n = sizes - LENGTH + 1
+                inside = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+                start = (ends - sizes)[own] + inside
+                h1, h2 = (c.SpanHash(buf, codes)(start, start + LENGTH).view(np.int64) for codes in (_CODES, _CODES2))
+                doc, at = (part.column(k).to_numpy().astype(np.int64) for k in ("doc_id", "at"))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, doc[own], at[own] + inside)], ["h1", "h2", "doc_id", "at"])
+
+    strings = c.written(rows.mapInArrow(run, "h1 long, h2 long, doc_id long, at long"), "strings")
+    least = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("least"), F.count("*").alias("n")).where("n > 1")
+    later = strings.join(least, ["h1", "h2"]).where("struct(doc_id, at) <> least").select("doc_id", "at")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = singles(*[batch.column(k).to_numpy() for k in ("doc_id", "at")])
+            yield packed(out, GONE, part_of(out["doc"], parts))
+
+    return by_document(later.mapInArrow(pack, _PACKED), parts)
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text, own_id``: ``own_id`` is the id, and ``doc_id`` a number of each
+    row's own in the order of the ids: the id itself unless some id is null or
+    repeats, and otherwise the place among all rows (then written once)."""
+    known = c.keyed(docs, id_col, text_col)
+    repeated = known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    if repeated.isEmpty():
+        return known.withColumn("own_id", F.col("doc_id"))
+    rows = c.written(known.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    places = merkle.numbered(rows.select("__row", "doc_id", F.lit("").alias("grp")), "grp", ["doc_id", "__row"])
+    places = places.select("__row", F.col("pos").alias("place"))
+    return c.written(rows.join(places, "__row").select(F.col("place").alias("doc_id"), "text", F.col("doc_id").alias("own_id")), "numbered")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, spans`` (maximal removed byte
     runs, end exclusive) and ``kept`` (the remaining bytes)."""
-    known = c.keyed(docs, id_col, text_col)
+    known = numbered(docs, id_col, text_col)
+    texts = known.select("doc_id", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = c.written(met(dealt(known, parts)), "segments")
-    more = c.written(compared(segments(known, first.where("kind = 1"))), "repeats")
-    gone = first.where("kind = 0").unionByName(more).groupBy(F.col("doc_id").alias("__id"))
-    both = known.join(gone.agg(F.collect_list("data").alias("data")), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    first = c.written(met(dealt(texts, parts), parts), "segments")
+    more = c.written(compared(segments(texts, first.where(f"kind = {SHARED}")), parts), "repeats")
+    found = first.where(f"kind = {GONE}").unionByName(more)
+    hot = first.where(f"kind = {CROWDED}")
+    if not hot.isEmpty():
+        found = found.unionByName(c.written(crowded(segments(texts, hot), parts), "crowded"))
+    gone = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("data").alias("data"))  # at most three rows a document
+    both = known.join(gone, F.col("doc_id") == F.col("__id"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,12 +441,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     spans.append([{"start": s, "end": e} for s, e in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True)])
                     kept.append(raw[~out].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())],
+                    [part.column("own_id"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())],
                     ["doc_id", "n_bytes", "spans", "kept"],
                 )
 
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    return both.select("doc_id", "text", "data").mapInArrow(run, schema)
+    return both.select("own_id", "text", "data").mapInArrow(run, schema)
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
