@@ -23,6 +23,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,9 +81,7 @@ class Runs:
         if len(self.young) >= TABLE_RUNS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        runs: list[tuple[list[str], list[bytes | None]] | None] = []
-        unknown: dict[str, list[str]] = {}
-        pieces: dict[str, None] = {}
+        runs: list[list[str] | None] = []
         for text in texts:
             if _ODD.search(text):
                 runs.append(None)
@@ -91,34 +90,21 @@ class Runs:
                 if not unicodedata.is_normalized("NFC", text):
                     text = unicodedata.normalize("NFC", text)
                 text = text.replace("Σ", "σ")
-            words = text.lower().split()
-            found = list(map(young.get, words))
-            runs.append((words, found))
-            if None not in found:
-                continue
-            for w, f in zip(words, found, strict=True):
-                if f is not None or w in young or w in unknown:
-                    continue
-                known = old.get(w)
-                if known is not None:
-                    young[w] = known
-                else:
-                    parts = unknown[w] = [w] if w.isalpha() else _PIECE.findall(w)
-                    pieces.update(dict.fromkeys(p for p in parts if p not in young))
+            runs.append(text.lower().split())
+        unknown = set().union(*filter(None, runs)).difference(young)
+        known = unknown.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known), strict=True))
+        parts = {w: [w] if w.isalpha() else _PIECE.findall(w) for w in unknown.difference(known)}
+        pieces = list(set(chain.from_iterable(parts.values())).difference(young))
         if pieces:
-            self.learn(list(pieces))
-        for w, parts in unknown.items():
-            if w not in young:
-                young[w] = b"".join([young[p] for p in parts])
+            self.learn(pieces)
+        young.update([(w, b"".join(map(young.__getitem__, own))) for w, own in parts.items() if w not in young])
         out = []
-        for text, run in zip(texts, runs, strict=True):
-            if run is None:
+        for text, words in zip(texts, runs, strict=True):
+            if words is None:
                 out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32))
-                continue
-            words, found = run
-            if None in found:
-                found = [young[w] if f is None else f for w, f in zip(words, found, strict=True)]
-            out.append(np.frombuffer(b"".join(found), np.int32))
+            else:
+                out.append(np.frombuffer(b"".join(map(young.__getitem__, words)), np.int32))
         return out
 
 
@@ -206,8 +192,13 @@ BLOCKS = (
 )
 
 
-def tokens(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids`` (little-endian uint16, with the end id)."""
+def wide_enough(path: str) -> str:
+    """The little-endian unsigned type that holds every id of a vocabulary."""
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
+
+
+def tokens(docs: DataFrame, path: str, kind: str) -> DataFrame:
+    """``doc_id, ids`` (of type ``kind``, with the end id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = runs(path)
@@ -215,39 +206,39 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 coded = known.encode(part.column("text").to_pylist())
-                raw = [np.append(x, END).astype("<u2").tobytes() for x in coded]
+                raw = [np.append(x, END).astype(kind).tobytes() for x in coded]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
 
     return docs.mapInArrow(run, "doc_id long, ids binary")
 
 
-def counts(coded: DataFrame) -> np.ndarray:
-    """How often each id occurs, over all documents; at most one row per id of
-    the vocabulary reaches the driver."""
+def counts(coded: DataFrame, kind: str, size: int) -> np.ndarray:
+    """How often each of ``size`` ids occurs, over all documents; at most one row
+    per id of the vocabulary reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
+        total = np.zeros(size, np.int64)
         held: list[bytes] = []
-        size = 0
+        n = 0
         for batch in batches:
             for raw in batch.column("ids").to_pylist():
                 held.append(raw)
-                size += len(raw)
-                if size > 1 << 22:
-                    total += np.bincount(np.frombuffer(b"".join(held), "<u2"), minlength=1 << 16)
-                    held, size = [], 0
-        total += np.bincount(np.frombuffer(b"".join(held), "<u2"), minlength=1 << 16)
+                n += len(raw)
+                if n > 1 << 22:
+                    total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)
+                    held, n = [], 0
+        total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
     rows = coded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 << 16, np.int64)
+    out = np.zeros(size, np.int64)
     for r in rows:
         out[r["id"]] = r["n"]
     return out
 
 
-def encoded(coded: DataFrame, freq: np.ndarray) -> DataFrame:
+def encoded(coded: DataFrame, freq: np.ndarray, kind: str) -> DataFrame:
     """The blocks of each part, a range of document ids, in order; ``start``
     counts from the part's first id."""
     n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -278,8 +269,8 @@ def encoded(coded: DataFrame, freq: np.ndarray) -> DataFrame:
                     size = 0
                 if p != part:
                     part, start = p, 0
-                held.append((d, np.frombuffer(raw, "<u2")))
-                size += len(raw) // 2
+                held.append((d, np.frombuffer(raw, kind)))
+                size += len(held[-1][1])
         if held:
             yield flush()
 
@@ -321,9 +312,11 @@ def from_checkpoint(row: dict, coder: Coder, mark: int) -> np.ndarray:
 
 def written_blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, np.ndarray]:
     """The dataset of blocks, written in the shared folder, and its table."""
-    coded = c.written(tokens(c.keyed(docs, id_col, text_col), path), "tokens")
-    freq = table_of(counts(coded))
-    return c.written(encoded(coded, freq), "blocks"), freq
+    kind = wide_enough(path)
+    coded = c.written(tokens(c.keyed(docs, id_col, text_col), path, kind), "tokens")
+    vocab = Tokenizer.from_file(path).get_vocab().values()
+    freq = table_of(counts(coded, kind, max([END, *vocab]) + 1))
+    return c.written(encoded(coded, freq, kind), "blocks"), freq
 
 
 def read_documents(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
