@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from regstat.llm.common import keyed, lists
 
 #: Words kept per generation of the table of a worker process.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 120_000
 #: Rows of a batch handed back to Spark.
 ROWS_OUT = 500
 NO_RULE = 1 << 62
@@ -164,7 +164,7 @@ class Encoder:
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str]]:
         """(is special, piece) in order."""
-        if self.special_cut is None or "<" not in text:
+        if self.special_cut is None or not self.special_cut.search(text):
             yield False, text
             return
         for piece in self.special_cut.split(text):
@@ -259,11 +259,9 @@ class Decoder:
 
 
 def decode(ids: Iterable[int], encoder: Encoder, form: str = "joined") -> str:
-    """All of ``ids`` through one machine."""
-    if form == "joined":  # the machine's output over a whole sequence, in one step
-        return " ".join(map(encoder.strings.__getitem__, ids))
+    """All of ``ids`` through one machine, id by id."""
     machine = Decoder(encoder, form)
-    return "".join([machine.feed(int(i)) for i in ids]) + machine.end()
+    return "".join(map(machine.feed, ids)) + machine.end()
 
 
 @lru_cache(maxsize=4)

@@ -38,6 +38,8 @@ WINDOW = 2
 MAX_TRAIN = 8_000
 HIDDEN = 24
 EPOCHS = 400
+#: Bytes of text that are pooled at a time; their word vectors take about 60 times as much.
+POOLED_BYTES = 1 << 17
 RATE = 0.01
 DECAY = 1e-4
 
@@ -201,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label_col: st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in c.blocks(batches):
+        for block in c.blocks(batches, POOLED_BYTES):
             x = pooled(block, vectors)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(block.ids, pa.int64()), c.lists(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())], ["doc_id", "x"]
@@ -233,7 +235,7 @@ def scores(texts: pa.Array, vectors: np.ndarray, net: Network | None) -> np.ndar
     """Score of each text of an Arrow column."""
     texts = texts.fill_null("")
     batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), texts], ["doc_id", "text"])
-    parts = [np.full(len(b.ids), 0.5) if net is None else net.score(pooled(b, vectors)) for b in c.blocks([batch])]
+    parts = [np.full(len(b.ids), 0.5) if net is None else net.score(pooled(b, vectors)) for b in c.blocks([batch], POOLED_BYTES)]
     return np.concatenate(parts) if parts else np.zeros(0)
 
 
