@@ -1,7 +1,7 @@
 """MinHash near-dedup (2): a chosen-path set similarity join.
 
 A document is the set of its 5-word shingles. Documents with equal sets are
-one class, represented by its smallest id; only representatives are joined.
+one class; only classes are joined.
 
 *Trees.* Each of ``TREES`` independent trees branches every document into one
 child per selected minwise token: two of the ``MINS`` minimum hashes per tree
@@ -28,7 +28,9 @@ many comparisons as it has members.
 Words are runs of bytes other than 0x20 and 0x09-0x0D after lower-casing A-Z;
 a text with fewer than five words is one shingle. Defined results: a null or
 empty text has an empty set, is linked with nothing and is its own component;
-rows that repeat an id are one node; equal sets are linked (similarity 1); an
+rows that repeat an id are one node, linked with whatever one of its texts is
+linked with; rows without an id are linked with none, and take the smallest id
+of the documents with an equal set; equal sets are linked (similarity 1); an
 empty table gives an empty table.
 """
 
@@ -56,6 +58,8 @@ LEAF = 64
 SLICE = 512
 #: Rounds in which the members of large nodes are tied to a medoid.
 MEDOID_ROUNDS = 2
+#: Members of a large node, about, that choose its pivot.
+VOTERS = 24
 
 _CODES = c.byte_codes(2)
 _MULTIPLY = c.mix(np.arange(1, MINS + 1, dtype=c.U64)) | c.U64(1)
@@ -91,6 +95,12 @@ def shingle_sets(block: c.Block, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def keys_of(values: np.ndarray) -> tuple[int, int]:
+    """A 128-bit key of a set, as two signed numbers."""
+    k = np.array([c.mix(values).sum(dtype=c.U64), np.bitwise_xor.reduce(c.mix(values * c.BASE))], c.U64).view(np.int64)
+    return int(k[0]), int(k[1])
+
+
 def minimums(values: np.ndarray) -> np.ndarray:
     """The ``MINS`` minimum hashes of a set, 32 bits each."""
     if len(values) > 1 << 16:  # a very long text, in parts
@@ -107,8 +117,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         for block in c.blocks(batches):
             sets = shingle_sets(block)
             n = np.array([len(s) for s in sets], np.int64)
-            k1 = np.array([c.mix(s).sum(dtype=c.U64) for s in sets], c.U64).view(np.int64)
-            k2 = np.array([np.bitwise_xor.reduce(c.mix(s * c.BASE)) for s in sets], c.U64).view(np.int64)
+            k1, k2 = np.array([keys_of(s) for s in sets], np.int64).reshape(-1, 2).T
             mins = np.array([minimums(s) if len(s) else np.zeros(MINS, np.uint32) for s in sets], np.uint32)
             first = mins[:, : 2 * TREES].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -272,23 +281,34 @@ def agreement(x: str, y: str) -> str:
     return f"aggregate(sequence(1, {MINS}), 0, (n, i) -> n + int(substring({x}, i, 1) = substring({y}, i, 1)))"
 
 
+def usual_values(among: DataFrame) -> DataFrame:
+    """``node, usual``: the value that most of about ``VOTERS`` members of each node
+    (those whose hash falls into one of their number over ``VOTERS`` shares)
+    have in each place of the sketch. Only a pivot is chosen by it: which members
+    vote decides how many pairs a round settles, not which are found in the end."""
+    sizes = among.groupBy("node").agg(F.count("*").alias("among"))
+    votes = among.join(sizes, "node").where(f"pmod(xxhash64(rep, node), cast(ceil(among / {VOTERS}) as bigint)) = 0")
+    votes = votes.groupBy("node").agg(F.collect_list("sketch").alias("votes"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            usual = []
+            for own in batch.column("votes").to_pylist():
+                values = np.frombuffer(b"".join(own), np.uint8).reshape(-1, MINS)
+                usual.append(bytes(int(np.bincount(column).argmax()) for column in values.T))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(usual, pa.binary())], ["node", "usual"])
+
+    return votes.mapInArrow(run, "node long, usual binary")
+
+
 def medoid_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of each member of a large node with the medoid of its node, where
     they agree often enough and lie in different components. The medoid is
     taken among members outside the main component, if there are any."""
-    among = rows.where("comp <> main or comp = rep")
-    values = among.select("node", "sketch", F.explode(F.sequence(F.lit(1), F.lit(MINS))).alias("i")).select(
-        "node", "i", F.expr("int(conv(hex(substring(sketch, i, 1)), 16, 10))").alias("value")
-    )
-    most = values.groupBy("node", "i", "value").agg(F.count("*").alias("n"))  # at most 256 values an i
-    most = most.repartition("node").groupBy("node", "i").agg((F.max(F.col("n") * 256 + F.col("value")) % 256).alias("value"))
-    usual = most.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("usual"))
-    near = F.expr(
-        f"aggregate(sequence(1, {MINS}), 0, (n, i) -> n + "
-        "int(int(conv(hex(substring(sketch, i, 1)), 16, 10)) = usual[i - 1].value))"
-    )
+    among = rows.where("comp <> main or comp = rep").select("node", "rep", "comp", "sketch")
+    near = F.expr(agreement("sketch", "usual"))
     medoid = (
-        among.join(usual, "node")
+        among.join(usual_values(among), "node")
         .groupBy("node")
         .agg(F.max(F.struct(near.alias("n"), "rep", "comp", "sketch")).alias("p"))
     )
@@ -385,24 +405,57 @@ def linked(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, sets: DataFram
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id``."""
     known = c.keyed(docs, id_col, text_col)
     marks = c.written(sketches(known), "sketches")
-    classes = marks.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    filled = marks.where("n_shingles > 0")
     least = F.min(F.struct(F.col("doc_id").alias("rep"), "mins", "sketch")).alias("least")
-    reps = marks.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(least).select("least.*")
-    leaves, dense = trees(c.written(reps, "reps"))
+    reps = filled.where("doc_id is not null").groupBy("k1", "k2").agg(least).select("k1", "k2", "least.*")
+    reps = c.written(reps, "reps")
+    leaves, dense = trees(reps)
     pairs = c.written(leaf_pairs(leaves.withColumn("comp", F.col("rep")), every=False), "pairs")
 
-    live = (
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-        .unionByName(dense.select(F.col("rep").alias("doc_id")))
-        .distinct()
-    )
-    live = c.written(live, "live")  # its size is known to the plan: a small one is broadcast, and no text is shuffled
-    texts = known.join(live, "doc_id").dropDuplicates(["doc_id"])
-
-    found = linked(leaves, dense, pairs, c.written(full_sets(texts), "sets")).select(F.col("node").alias("rep"), "component")
+    # ids that stand in several rows, and whether with different sets
+    unlike = F.expr("min(k1) <> max(k1) or min(k2) <> max(k2)").alias("unlike")
+    repeated = filled.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), unlike).where("rows > 1")
+    repeated = c.written(repeated, "repeated")
+
+    live = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(dense.select("rep")).distinct()
+    # its size is known to the plan: a small one is broadcast, and no text is shuffled
+    live = c.written(reps.select("rep", "k1", "k2").join(live, "rep", "left_semi"), "live")
+    sets = own_sets(known, live)
+    if not repeated.isEmpty():
+        sets = sets.distinct()
+    found = linked(leaves, dense, pairs, c.written(sets, "sets"))
+    classes = reps.select("k1", "k2", "rep")
+    if not repeated.where("unlike").isEmpty():
+        several = filled.join(repeated.where("unlike").select("doc_id"), "doc_id").join(classes, ["k1", "k2"])
+        first = several.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        links = several.join(first, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
+        found = extended(found, c.written(links, "links"))
+    found = found.select(F.col("node").alias("rep"), "component")
     out = marks.join(classes, ["k1", "k2"], "left").join(found, "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def own_sets(known: DataFrame, live: DataFrame) -> DataFrame:
+    """``doc_id, items``: the full sets of the classes ``live`` (``rep, k1, k2``),
+    from the documents that represent them. An id with several texts gives the sets
+    that are asked for."""
+    own = live.select(F.col("rep").alias("__id"), "k1", "k2")
+    texts = known.join(own, F.col("doc_id") == F.col("__id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = pa.array(np.arange(batch.num_rows))
+            ids, k1, k2 = (batch.column(k).to_numpy() for k in ("doc_id", "k1", "k2"))
+            for block in c.blocks(iter([pa.RecordBatch.from_arrays([at, batch.column("text")], ["doc_id", "text"])])):
+                found = list(zip(block.ids.tolist(), shingle_sets(block), strict=True))
+                found = [(i, s) for i, s in found if keys_of(s) == (k1[i], k2[i])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([s.tobytes() for _, s in found], pa.binary())],
+                    ["doc_id", "items"],
+                )
+
+    return texts.select("doc_id", "text", "k1", "k2").mapInArrow(run, "doc_id long, items binary")
