@@ -124,12 +124,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_paragraph_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = paragraph_dups.removals(table(spark, sf_dir, "documents"))
+    lines, runs = F.size("removed").cast("long"), F.size("passages").cast("long")
     return found.select(
         "doc_id",
-        "n_paragraphs",
-        F.size("removed").cast("long").alias("n_removed"),
+        (lines + runs).alias("n_removed"),
+        lines.alias("n_removed_lines"),
         F.expr("aggregate(removed, 0L, (s, r) -> s + r.n_words)").alias("n_removed_words"),
         F.array_join(F.expr("transform(removed, r -> cast(r.line as string))"), ",").alias("removed_lines"),
+        F.array_join(F.expr("transform(passages, r -> concat(r.at, ':', r.at + r.n_words))"), ",").alias("passages"),
     )
 
 
