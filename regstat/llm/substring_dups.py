@@ -47,7 +47,9 @@ LENGTH = 100
 GRAM = 40
 SPAN = LENGTH - GRAM + 1  # grams in a string
 #: Anchors that a task holds before it deals them out.
-HELD = 1 << 20
+HELD = 1 << 18
+#: Bytes of text whose grams a task holds at a time.
+GRAM_BYTES = 1 << 18
 #: Different segments of one gram that one task compares by a suffix array.
 HOT = 4096
 #: Kinds of records: removed segments; first segments that share a gram with
@@ -146,7 +148,7 @@ def dealt(docs: DataFrame, parts: int) -> DataFrame:
 
         held: list[np.ndarray] = []
         size = 0
-        for block in c.blocks(batches):
+        for block in c.blocks(batches, GRAM_BYTES):
             held.append(anchors(block))
             size += len(held[-1])
             if size >= HELD:
