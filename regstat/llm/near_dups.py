@@ -421,13 +421,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = c.written(repeated, "repeated")
 
     live = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(dense.select("rep")).distinct()
-    # its size is known to the plan: a small one is broadcast, and no text is shuffled
-    live = c.written(reps.select("rep", "k1", "k2").join(live, "rep", "left_semi"), "live")
-    sets = own_sets(known, live)
-    if not repeated.isEmpty():
-        sets = sets.distinct()
-    found = linked(leaves, dense, pairs, c.written(sets, "sets"))
+    # ids alone, of a size known to the plan: a small table is broadcast, and no text is shuffled
+    live = c.written(live, "live")
     classes = reps.select("k1", "k2", "rep")
+    sets = keyed_sets(known.join(live, F.col("doc_id") == F.col("rep"), "left_semi"))
+    if not repeated.isEmpty():
+        # once each, and of an id with several texts only those that it represents
+        own = classes.withColumnRenamed("rep", "doc_id")
+        sets = c.written(sets, "texts").join(own, ["doc_id", "k1", "k2"], "left_semi").distinct()
+    found = linked(leaves, dense, pairs, c.written(sets.select("doc_id", "items"), "sets"))
     if not repeated.where("unlike").isEmpty():
         several = filled.join(repeated.where("unlike").select("doc_id"), "doc_id").join(classes, ["k1", "k2"])
         first = several.groupBy("doc_id").agg(F.min("rep").alias("a"))
@@ -439,23 +441,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def own_sets(known: DataFrame, live: DataFrame) -> DataFrame:
-    """``doc_id, items``: the full sets of the classes ``live`` (``rep, k1, k2``),
-    from the documents that represent them. An id with several texts gives the sets
-    that are asked for."""
-    own = live.select(F.col("rep").alias("__id"), "k1", "k2")
-    texts = known.join(own, F.col("doc_id") == F.col("__id"))
+def keyed_sets(texts: DataFrame) -> DataFrame:
+    """``doc_id, k1, k2, items``: the full sets with their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = pa.array(np.arange(batch.num_rows))
-            ids, k1, k2 = (batch.column(k).to_numpy() for k in ("doc_id", "k1", "k2"))
-            for block in c.blocks(iter([pa.RecordBatch.from_arrays([at, batch.column("text")], ["doc_id", "text"])])):
-                found = list(zip(block.ids.tolist(), shingle_sets(block), strict=True))
-                found = [(i, s) for i, s in found if keys_of(s) == (k1[i], k2[i])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([s.tobytes() for _, s in found], pa.binary())],
-                    ["doc_id", "items"],
-                )
-
-    return texts.select("doc_id", "text", "k1", "k2").mapInArrow(run, "doc_id long, items binary")
+        for block in c.blocks(batches):
+            sets = shingle_sets(block)
+            k1, k2 = np.array([keys_of(s) for s in sets], np.int64).reshape(-1, 2).T
+            columns = [pa.array(block.ids, pa.int64()), pa.array(k1), pa.array(k2), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "k1", "k2", "items"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, items binary")
