@@ -7,8 +7,8 @@ one class; only classes are joined.
 child per selected minwise token: two of the ``MINS`` minimum hashes per tree
 and level, so two documents of similarity s share each child with probability
 s. A node of at most ``LEAF`` documents is a leaf, and its documents are all
-compared; a larger node branches again, up to ``LEVELS`` levels. With
-similarity 0.75 a tree loses a pair with probability at most 0.112 at any
+compared; a larger node branches again, up to ``LEVELS`` levels, unless its
+members are nearly all alike. With similarity 0.75 a tree loses a pair with probability at most 0.112 at any
 depth, so six trees lose at most 2e-6 of the pairs (6e-8 of those that meet
 in leaves of the first level).
 
@@ -18,7 +18,7 @@ similarity 0.75 is, with probability 5e-6). The rest are confirmed on the full
 sets. First the pairs of a forest that spans each leaf's similar pairs; once
 these are confirmed, only pairs that still lie in different components.
 
-*Nodes that never get small* (thousands of near copies) are tied to their
+*Nodes that stay large* (thousands of near copies) are tied to their
 medoid instead, along with the forests: the member nearest to what most
 members agree on, the text that the others were copied from, if it is there.
 At the end each document outside a node's largest component is compared with
@@ -203,14 +203,27 @@ def leaf_pairs(rows: DataFrame, every: bool = True) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def alike_nodes(large: DataFrame) -> DataFrame:
+    """``node``: the large nodes whose members, but for at most ``LEAF`` and at most a
+    quarter, are like what most of them agree on. Branching doesn't part such
+    a group of near copies, and its few other members cost the exact rest little."""
+    near = F.expr(agreement("sketch", "usual"))
+    unlike = F.count_if(near < AGREE).alias("unlike")
+    read = large.select("node", "rep", "sketch").join(usual_values(large), "node")
+    told = read.groupBy("node").agg(unlike, F.count("*").alias("members"))
+    return told.where(f"unlike <= {LEAF} and 4 * unlike <= members").select("node")
+
+
 def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(leaf rows, rows of nodes that stayed large), both ``node, rep,
     sketch``. ``reps`` has ``rep, mins, sketch``. On the first level most nodes
-    hold one document; the sketch is fetched only for the others."""
+    hold one document; the sketch is fetched only for the others. Only nodes
+    whose members differ branch again."""
     rows = reps.select("rep", F.posexplode("mins").alias("at", "value")).select(
         F.xxhash64("at", "value").alias("node"), F.expr("cast(at div 2 as int)").alias("tree"), "rep"
     )
     leaves: DataFrame | None = None
+    dense: DataFrame | None = None
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = rows.join(sizes, "node")
@@ -220,8 +233,14 @@ def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         small = sized.where(F.col("n") <= LEAF).select("node", "rep", "sketch")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = sized.where(F.col("n") > LEAF)
+        stay = large
+        if level < LEVELS:
+            alike = c.written(alike_nodes(large), f"alike{level}")
+            stay, large = large.join(alike, "node", "left_semi"), large.join(alike, "node", "left_anti")
+        stay = stay.select("node", "rep", "sketch")
+        dense = stay if dense is None else dense.unionByName(stay)
         if level == LEVELS:
-            return leaves, large.select("node", "rep", "sketch")
+            return leaves, dense
         at = F.expr(f"{2 * TREES * level} + 2 * tree + side")
         rows = large.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).select(
             F.xxhash64("node", "side", F.substring("sketch", at + 1, F.lit(1))).alias("node"),
