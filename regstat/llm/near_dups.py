@@ -237,7 +237,7 @@ def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         if level < LEVELS:
             alike = c.written(alike_nodes(large), f"alike{level}")
             stay, large = large.join(alike, "node", "left_semi"), large.join(alike, "node", "left_anti")
-        stay = stay.select("node", "rep", "sketch")
+        stay = c.written(stay.select("node", "rep", "sketch"), "dense")  # read several times
         dense = stay if dense is None else dense.unionByName(stay)
         if level == LEVELS:
             return leaves, dense
