@@ -262,6 +262,16 @@ def test_license_wordings(spark):
         ("This work is under a Creative Commons Attribution-ShareAlike 4.0 International License", [(0, "CC-BY-SA-4.0")]),
         ("This is free and unencumbered software released into the public domain.", [(0, "Unlicense")]),
         ("The license plate and version 3 of the general report for the public", []),
+        ("EPL-2.0", [(0, "EPL-2.0")]),
+        ("Distributed under the Boost Software License, Version 1.0.", [(0, "BSL-1.0")]),
+        ("EUPL-1.2", [(0, "EUPL-1.2")]),
+        ("LGPL-2.0-only", [(0, "LGPL-2.0")]),
+        ("BSD-4-Clause", [(0, "BSD-4-Clause")]),
+        ("CC BY-SA 3.0", [(0, "CC-BY-SA-3.0")]),
+        ("He was released under the MIT roof", []),
+        ("Under version 2 of the Apache tribe treaty", []),
+        ("We studied at MIT or Apache helicopters", []),
+        ("They met under the MIT bridge of 1990", []),
     ]
     got = families_of(spark, [(i, t) for i, (t, _) in enumerate(wordings)] + [(100 + i, prose(60)) for i in range(40)])
     assert {wordings[i][0]: got[i] for i in range(len(wordings))} == dict(wordings)
