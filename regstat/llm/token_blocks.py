@@ -17,7 +17,7 @@ empty dataset; other columns are not looked at.
 
 from __future__ import annotations
 
-import re
+import os
 import unicodedata
 import zlib
 from array import array
@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,18 +43,31 @@ LOW = np.uint64(1 << 31)
 END = 1
 #: Runs remembered per worker process and generation.
 TABLE_RUNS = 600_000
+#: Bytes of text whose runs are looked up at a time. A longer text is a block of
+#: its own.
+BLOCK_TEXT = 1 << 22
+#: Runs up to this length are remembered.
+RUN_CHARS = 64
 
 _SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_ODD = re.compile("[\x1c-\x1f]|<\\|")
 _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACES}\p{{L}}\p{{N}}]+")
 
 
+def normal(run: str) -> str:
+    """A run as the tokenizer normalises it; no rule looks past white space."""
+    if not unicodedata.is_normalized("NFC", run):
+        run = unicodedata.normalize("NFC", run)
+    return run.replace("Σ", "σ").lower()  # lower case goes by single characters
+
+
 class Runs:
     """The library's ids of texts, looked up by runs without white space.
 
     The tokenizer never joins two such runs, so a run has the same ids in
-    every text. Unknown runs of many texts go to the library in one call;
-    texts with special strings or rare separators go there whole."""
+    every text. Arrow cuts the texts and numbers their distinct runs, Python
+    looks at those only, and numpy puts the ids in the texts' order. The
+    pieces of unknown runs go to the library in one call; texts with special
+    strings go there whole."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -62,50 +76,72 @@ class Runs:
         vocab = self.library.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, pieces: list[str]) -> None:
-        ids = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, np.int32)
+    def whole(self, text: str) -> bytes:
+        return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        if not pieces:
+            return {}
+        joined = self.library.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, np.int32)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(pieces):  # some piece is split again: one by one
-            for p in pieces:
-                self.young[p] = array("i", self.library.encode(p, add_special_tokens=False).ids).tobytes()
-            return
-        raw, lo = ids.tobytes(), 0
-        for p, e in zip(pieces, (4 * ends).tolist(), strict=True):
-            self.young[p] = raw[lo:e]
-            lo = e
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+            return {p: self.whole(p) for p in pieces}
+        raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return {p: raw[lo:hi] for p, lo, hi in zip(pieces, at, at[1:], strict=False)}
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of runs that no table holds."""
+        words = [w if w.isascii() else normal(w) for w in words]
+        parts = {w: _PIECE.findall(w) for w in words if not w.isalpha()}
+        known = self.pieces(list(set(words).difference(parts).union(*parts.values())))
+        return [b"".join(map(known.__getitem__, parts[w])) if w in parts else known[w] for w in words]
+
+    def lookup(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct runs."""
         if len(self.young) >= TABLE_RUNS:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        runs: list[list[str] | None] = []
-        for text in texts:
-            if _ODD.search(text):
-                runs.append(None)
-                continue
-            if not text.isascii():
-                if not unicodedata.is_normalized("NFC", text):
-                    text = unicodedata.normalize("NFC", text)
-                text = text.replace("Σ", "σ")
-            runs.append(text.lower().split())
-        unknown = set().union(*filter(None, runs)).difference(young)
-        known = unknown.intersection(old)
-        young.update(zip(known, map(old.__getitem__, known), strict=True))
-        parts = {w: [w] if w.isalpha() else _PIECE.findall(w) for w in unknown.difference(known)}
-        pieces = list(set(chain.from_iterable(parts.values())).difference(young))
-        if pieces:
-            self.learn(pieces)
-        young.update([(w, b"".join(map(young.__getitem__, own))) for w, own in parts.items() if w not in young])
-        out = []
-        for text, words in zip(texts, runs, strict=True):
-            if words is None:
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32))
-            else:
-                out.append(np.frombuffer(b"".join(map(young.__getitem__, words)), np.int32))
-        return out
+        found = list(map(self.young.get, words))
+        if self.old:
+            again = [k for k, ids in enumerate(found) if ids is None and words[k] in self.old]
+            for k in again:
+                found[k] = self.young[words[k]] = self.old[words[k]]
+        at = [k for k, ids in enumerate(found) if ids is None]
+        new = [words[k] for k in at]
+        ids = self.learn(new)
+        for k, x in zip(at, ids, strict=True):
+            found[k] = x
+        self.young.update(zip(new, ids, strict=True))
+        for w in [w for w in new if len(w) > RUN_CHARS]:
+            del self.young[w]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and each text's count."""
+        odd = np.zeros(len(texts), bool)
+        for s in self.special:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        cut = pc.ascii_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        runs = cut.flatten()
+        runs = pc.if_else(pc.string_is_ascii(runs), pc.ascii_lower(runs), runs).dictionary_encode()
+        found = self.lookup(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(found), np.int32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        at, run = np.cumsum(size) - size, runs.indices.to_numpy()
+        end = np.concatenate([[0], np.cumsum(size[run])])
+        ids = flat[np.repeat(at[run] - end[:-1], size[run]) + np.arange(end[-1])]
+        edge = cut.offsets.to_numpy().astype(np.int64)
+        edge = end[edge - edge[0]]
+        if odd.any():
+            own = [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            for k in np.flatnonzero(odd).tolist():
+                own[k] = np.frombuffer(self.whole(texts[k].as_py()), np.int32)
+            return np.concatenate(own), np.array(list(map(len, own)), np.int64)
+        return ids, np.diff(edge)
 
 
 @lru_cache(maxsize=2)
@@ -197,17 +233,32 @@ def wide_enough(path: str) -> str:
     return "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``BLOCK_TEXT`` bytes of text."""
+    end = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(end):
+        limit = BLOCK_TEXT + (end[lo - 1] if lo else 0)
+        hi = max(lo + 1, int(np.searchsorted(end, limit, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def tokens(docs: DataFrame, path: str, kind: str) -> DataFrame:
     """``doc_id, ids`` (of type ``kind``, with the end id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         known = runs(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                coded = known.encode(part.column("text").to_pylist())
-                raw = [np.append(x, END).astype(kind).tobytes() for x in coded]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+            for part in slices(batch):
+                ids, n = known.encode(part.column("text"))
+                data = np.insert(ids, np.cumsum(n), END).astype(kind)
+                at = np.concatenate([[0], np.cumsum(n + 1)]) * data.itemsize
+                raw = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(n), [None, pa.py_buffer(at), pa.py_buffer(data)]
+                ).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), raw], ["doc_id", "ids"])
 
     return docs.mapInArrow(run, "doc_id long, ids binary")
 
