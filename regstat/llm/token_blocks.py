@@ -96,10 +96,15 @@ class Runs:
 
     def learn(self, words: list[str]) -> list[bytes]:
         """Ids of runs that no table holds."""
-        words = [w if w.isascii() else normal(w) for w in words]
-        parts = {w: _PIECE.findall(w) for w in words if not w.isalpha()}
-        known = self.pieces(list(set(words).difference(parts).union(*parts.values())))
-        return [b"".join(map(known.__getitem__, parts[w])) if w in parts else known[w] for w in words]
+        plain = [w if w.isascii() else normal(w) for w in words]
+        # signs that lower case has put in another order: the library would sort them
+        odd = {p for p in plain if not p.isascii() and not unicodedata.is_normalized("NFC", p)}
+        parts = {p: _PIECE.findall(p) for p in plain if not p.isalpha()}
+        known = self.pieces(list(set(plain).difference(parts).union(*parts.values())))
+        found = [b"".join(map(known.__getitem__, parts[p])) if p in parts else known[p] for p in plain]
+        for k in [k for k, p in enumerate(plain) if p in odd] if odd else []:
+            found[k] = self.whole(words[k])
+        return found
 
     def lookup(self, words: list[str]) -> list[bytes]:
         """Ids of distinct runs."""

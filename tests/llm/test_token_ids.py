@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from regstat.llm import token_blocks
+from regstat.llm import queries, token_blocks
 
 
 def test_ids_wider_than_16_bits(spark):
@@ -22,3 +25,22 @@ def test_ids_wider_than_16_bits(spark):
         assert (r.doc_id, r.start, r.n_tokens) == (i, start, len(ids))
         assert (np.frombuffer(r.ids, "<u4") == ids).all()
         start += len(ids)
+
+
+def test_runs_give_the_librarys_ids():
+    """Rare white space, special strings, composed letters, long runs, also
+    where the table of runs changes its generation."""
+    rng = random.Random(3)
+    signs = [*"aAbBHWJ'stredlvm09. \t\n\x0b\x1c\x1f\x85\xa0\u2003\u3000ΣσςİßÉé日本😀<|>½", "e\u0301", "\u0331"]
+    signs += ["<|endoftext|>", "<|startoftext|>", "'ll", "don't", " "]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["", "x" * 5000, " ", "\xa0", "H\u0331 h\u0331 J\u030c"]
+    runs = token_blocks.Runs(queries.WORD_BPE)
+    for lo in range(0, len(texts), 700):
+        part = texts[lo : lo + 700]
+        ids, n = runs.encode(pa.array(part))
+        want = [runs.library.encode(t, add_special_tokens=False).ids for t in part]
+        assert n.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert max(map(len, runs.young)) <= token_blocks.RUN_CHARS
+        runs.old, runs.young = runs.young, {}
