@@ -45,9 +45,9 @@ def test_stage_then_run(spark):
     for path in res.tables.values():
         assert os.path.isdir(f"{path}/parquet") and os.path.isdir(f"{path}/csv")
     som = spark.read.parquet(res.tables["SOM"] + "/parquet")
-    assert som.count() == 69
+    assert som.count() == 75
     control = {r["service"]: r for r in res.control}
-    assert control["SOM"]["output_rows"] == 69
+    assert control["SOM"]["output_rows"] == 75
     assert control["SOM"]["extract_rows"] == 78
     assert res.duplicate_places == 1
 
@@ -172,7 +172,7 @@ def test_a_run_that_fails_leaves_the_delivery_before(spark, staged, monkeypatch)
     src = read_sources(spark, f"{staged}/sources")
     first = run(spark, src, f"{staged}/out", run_date="x", csv=False)
     before = sorted(map(str, read_delivery(spark, first.out_dir, "SOM").collect()))
-    assert len(before) == 69
+    assert len(before) == 75
 
     def killed(*args, **kwargs):
         written(*args, **kwargs)

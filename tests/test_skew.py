@@ -111,3 +111,50 @@ def test_window_form_deals_a_hot_episode_to_many_tasks(spark):
     window = sorted(map(str, episodes.episodes_window(*args).collect()))
     assert window == sorted(map(str, episodes.episodes(*args).select(*marked.columns[1:]).collect()))
     assert len(window) == 399
+
+
+def test_distributed_lead_matches_window_on_hot_key(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from regstat.sources.fixtures import next_in_order
+
+    hot = spark.range(0, 30000, 1, 8).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("c"),
+        (F.col("id") * 7 % 1000).alias("d"),
+    )
+    a = next_in_order(hot, "c", ["d", "k"], "d")
+    b = hot.select("*", F.lead("d").over(Window.partitionBy("c").orderBy("d", "k")).alias("next_d"))
+    assert a.count() == 30000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_lead_with_nulls_repeats_and_a_hot_key_day(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from regstat.sources.fixtures import next_in_order
+
+    rows = [(k, c, d) for k in (1, 2, 2, None) for c in (5, 6, None) for d in (10, 11, None)]
+    rows += [(k, 7, 10 + k // 500) for k in range(1000)]
+    df = spark.createDataFrame(rows, "k long, c long, d long")
+    a = next_in_order(df, "c", ["d", "k"], "d")
+    order = [F.asc_nulls_last("d"), F.asc_nulls_last("k")]
+    b = df.select("*", F.lead("d").over(Window.partitionBy("c").orderBy(*order)).alias("next_d"))
+    assert a.count() == len(rows)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_residence_history_runs_to_the_next_order(spark, tmp_path):
+    from regstat.sources import fixtures
+
+    orders = [(1, 5, D("1996-01-10")), (2, 5, D("1996-03-01")), (13, 5, D("1996-03-01")), (4, 6, D("1997-05-05"))]
+    df = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date")
+    df.write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted(tuple(r)[:3] for r in fixtures.residence(spark, str(tmp_path)).collect() if r["to_date"])
+    assert got == [
+        (5, D("2012-01-10"), D("2012-02-29")),
+        (5, D("2012-03-01"), D("2012-02-29")),  # order 2, followed by 13 on its own day
+    ]
+    assert fixtures.residence(spark, str(tmp_path)).count() == 4
