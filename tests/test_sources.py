@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import replace
 
 import pytest
 from conftest import SF_SMALL
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from regstat import catalogue as cat
 from regstat.operators import episodes
+from regstat.plans import queries
 from regstat.sources import MissingColumnError, named_sources, normalise_names, read_sources, read_table, write_table
 from regstat.sources.readers import fixture_frames, fixture_sources
 from regstat.sources.schemas import read_columns
@@ -131,3 +133,14 @@ def test_a_named_table_that_is_missing_or_lacks_its_key(spark):
     del tables["TSBKoder"]
     with pytest.raises(KeyError, match="TSBKoder"):
         named_sources(spark, tables, *rest)
+
+
+def test_main_diagnosis_of_all_services_is_one_pass_over_the_codes(spark):
+    src = fixture_sources(spark, SF_SMALL)
+    got = queries.main_diagnosis_type(spark, SF_SMALL)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan
+    specs = [s for s in cat.SERVICES if s.selector.kind == "type"]
+    apart = episodes.main_diagnosis_rows_all(replace(src, codes_together=None), specs).select(*got.columns)
+    assert got.exceptAll(apart).count() == 0 and apart.exceptAll(got).count() == 0
+    assert got.count() > 1000
