@@ -144,3 +144,16 @@ def test_main_diagnosis_of_all_services_is_one_pass_over_the_codes(spark):
     apart = episodes.main_diagnosis_rows_all(replace(src, codes_together=None), specs).select(*got.columns)
     assert got.exceptAll(apart).count() == 0 and apart.exceptAll(got).count() == 0
     assert got.count() > 1000
+
+
+def test_service_folders_are_staged_from_one_derivation(spark, extracted, monkeypatch):
+    plans = []
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write_table(df, *args)
+
+    monkeypatch.setattr(queries, "write_table", seen)
+    got = queries.extract_from_service_folders(spark, SF_SMALL)
+    assert sum("l_orderkey" in p for p in plans) == 1
+    assert sorted(map(str, got.collect())) == extracted
