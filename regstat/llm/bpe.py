@@ -13,7 +13,7 @@ crosses splits a word into two independent ones, so what was emitted never
 has to be looked at again: memory is bounded by the lookahead, however long
 the word. Words that repeat take their tokens from a bounded table.
 
-*Decoding* is a state machine fed one id at a time. ``"joined"`` gives what
+*Decoding* is a state machine fed one id, or a stretch of ids, at a time. ``"joined"`` gives what
 ``Tokenizer.decode(ids, skip_special_tokens=False)`` gives for a file without
 decoder (token strings joined by a space); ``"text"`` maps tokens back to
 bytes and to text, holding at most one unfinished UTF-8 character.
@@ -33,6 +33,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ from regstat.llm.common import keyed, lists
 TABLE_WORDS = 120_000
 #: Rows of a batch handed back to Spark.
 ROWS_OUT = 500
+#: Ids that the decoder takes at a time.
+STRETCH = 4096
 NO_RULE = 1 << 62
 
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -100,12 +103,19 @@ class Encoder:
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.lookahead = sufficient_lookahead(merges, self.suffix)
         ids = self.ids
-        self.rank = {ids[a] << 32 | ids[b]: rank for rank, (a, b) in enumerate(merges)}
+        none: dict[int, int] = {}  # shared by the ids that no rule starts with
+        self.after = [none] * (max(ids.values()) + 1)
+        for rank, (a, b) in enumerate(merges):
+            if self.after[ids[a]] is none:
+                self.after[ids[a]] = {}
+            self.after[ids[a]][ids[b]] = rank
         self.made = [ids[a + b] for a, b in merges]
         letters = byte_alphabet()
         self.symbol = [ids[c] for c in letters]
         self.final = [ids[c + self.suffix] for c in letters]
+        self.byte = {c: b for b, c in enumerate(letters)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special_ids = set(self.special.values())
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         self.strings = {i: s for s, i in [*ids.items(), *self.special.items()]}
@@ -117,19 +127,20 @@ class Encoder:
     def merged(self, parts: list[int]) -> list[int]:
         """Apply the merge list to one sequence of symbols: always the
         earliest rule, leftmost first."""
-        rank = self.rank.get
-        ranks = [rank(a << 32 | b, NO_RULE) for a, b in zip(parts, parts[1:], strict=False)]
+        after, made = self.after, self.made
+        ranks = [after[a].get(b, NO_RULE) for a, b in zip(parts, parts[1:], strict=False)]
         while ranks:
             best = min(ranks)
             if best == NO_RULE:
                 break
             at = ranks.index(best)
-            parts[at : at + 2] = [self.made[best]]
+            new = made[best]
+            parts[at : at + 2] = [new]
             del ranks[at]
             if at:
-                ranks[at - 1] = rank(parts[at - 1] << 32 | parts[at], NO_RULE)
+                ranks[at - 1] = after[parts[at - 1]].get(new, NO_RULE)
             if at < len(ranks):
-                ranks[at] = rank(parts[at] << 32 | parts[at + 1], NO_RULE)
+                ranks[at] = after[new].get(parts[at + 1], NO_RULE)
         return parts
 
     def stream(self, symbols: Iterable[int], sizes: dict[int, int] | None = None) -> Iterator[int]:
@@ -233,13 +244,12 @@ class Encoder:
 
 class Decoder:
     """State machine: ``feed`` takes one id and returns the text it settles,
-    ``end`` what is left. State: whether anything was written, and at most
+    ``feed_all`` does so for a stretch of ids, ``end`` gives what is left. State: whether anything was written, and at most
     one unfinished character."""
 
     def __init__(self, encoder: Encoder, form: str = "joined"):
         self.strings, self.suffix, self.form = encoder.strings, encoder.suffix, form
-        self.special = set(encoder.special.values())
-        self.byte = {c: b for b, c in enumerate(byte_alphabet())}
+        self.special, self.byte = encoder.special_ids, encoder.byte
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
         self.begun = False
 
@@ -254,14 +264,24 @@ class Decoder:
         out = self.utf8.decode(bytes(self.byte[c] for c in word))
         return out + (self.utf8.decode(b"", True) + " " if len(word) < len(s) else "")
 
+    def feed_all(self, tokens: list[int]) -> str:
+        if self.form != "joined" or not tokens:
+            return "".join(map(self.feed, tokens))
+        begun, self.begun = self.begun, True
+        out = " ".join(map(self.strings.__getitem__, tokens))
+        return f" {out}" if begun else out
+
     def end(self) -> str:
         return self.utf8.decode(b"", True) if self.form == "text" else ""
 
 
 def decode(ids: Iterable[int], encoder: Encoder, form: str = "joined") -> str:
-    """All of ``ids`` through one machine, id by id."""
-    machine = Decoder(encoder, form)
-    return "".join(map(machine.feed, ids)) + machine.end()
+    """All of ``ids`` through one machine, ``STRETCH`` at a time."""
+    machine, ids = Decoder(encoder, form), iter(ids)
+    out = []
+    while stretch := list(islice(ids, STRETCH)):
+        out.append(machine.feed_all(stretch))
+    return "".join(out) + machine.end()
 
 
 @lru_cache(maxsize=4)

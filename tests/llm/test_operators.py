@@ -372,6 +372,24 @@ def test_bpe_stream_is_stable_and_text_decoding_round_trips():
     assert bpe.decode(enc.encode(text).tolist(), enc, "text").split() == text.split()
 
 
+def test_bpe_decodes_stretches_as_single_ids(monkeypatch):
+    enc = bpe.encoder(queries.WORD_BPE)
+    library = Tokenizer.from_file(queries.WORD_BPE)
+    text = "café 日本語 <|endoftext|> it's 😀 " + prose(40)
+    ids = enc.encode(text).tolist()
+    assert ids == library.encode(text, add_special_tokens=False).ids
+    for form in ("joined", "text"):
+        machine = bpe.Decoder(enc, form)
+        single = "".join(map(machine.feed, ids)) + machine.end()
+        machine = bpe.Decoder(enc, form)
+        assert "".join(machine.feed_all(ids[k : k + 3]) for k in range(0, len(ids) + 3, 3)) + machine.end() == single
+        for size in (1, 7, 4096):
+            monkeypatch.setattr(bpe, "STRETCH", size)
+            assert bpe.decode(iter(ids), enc, form) == single
+            assert bpe.decode([], enc, form) == ""
+    assert bpe.decode(ids, enc) == library.decode(ids, skip_special_tokens=False)
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     blocks, freq = token_blocks.written_blocks(empty, queries.WORD_BPE)
