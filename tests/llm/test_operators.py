@@ -422,3 +422,25 @@ def test_decontamination_of_rows_without_an_id(spark):
     test = spark.createDataFrame([(1, " ".join(texts[0].split()[4:20]))], "item_id long, text string")
     found = decontaminate.contamination(docs, test).collect()
     assert sorted((r.doc_id or 0, r.n_hit) for r in found) == [(0, 0), (0, 0), (0, 16), (0, 16), (5, 16)]
+
+
+def test_license_fit_reads_one_written_table(spark, monkeypatch):
+    """The jobs of the fit have no shuffle behind them, their rows one order."""
+    seen = []
+
+    def fit(self, rows):
+        seen.append(rows)
+        raise InterruptedError
+
+    monkeypatch.setattr(licenses.LogisticRegression, "fit", fit)
+    texts = ["licensed under the MIT license", "the license of the car", "a walk by the river and the old bridge of the town", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    known = licenses.keyed(docs, "doc_id", "text")
+    found = licenses.candidates(known)
+    with pytest.raises(InterruptedError):
+        licenses.fitted(spark, known, found)
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert seen[0].rdd.getNumPartitions() == 1
+    got = [(r.label, r.window) for r in seen[0].collect()]
+    want = licenses.training(spark, known, found).where("not held").select("label", "window").collect()
+    assert got == sorted(got) == sorted(map(tuple, want))
