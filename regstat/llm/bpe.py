@@ -40,12 +40,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from regstat.llm.common import keyed, lists
+from regstat.llm.common import keyed, lists, slices
 
 #: Words kept per generation of the table of a worker process.
 TABLE_WORDS = 120_000
-#: Rows of a batch handed back to Spark.
-ROWS_OUT = 500
 #: Ids that the decoder takes at a time.
 STRETCH = 4096
 NO_RULE = 1 << 62
@@ -297,8 +295,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(lo, ROWS_OUT)
+            for part in slices(batch, "text"):
                 done = [enc.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -40,6 +40,8 @@ HIDDEN = 24
 EPOCHS = 400
 #: Bytes of text that are pooled at a time; their word vectors take about 60 times as much.
 POOLED_BYTES = 1 << 17
+#: Bytes of text whose words are summed at a time; they take about 100 times as much.
+SUMMED_BYTES = 1 << 18
 RATE = 0.01
 DECAY = 1e-4
 
@@ -88,7 +90,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_vectors()
         total = np.zeros((BUCKETS, DIMS), np.int64)
-        for block in c.blocks(batches):
+        for block in c.blocks(batches, SUMMED_BYTES):
             bucket, row = word_buckets(block)
             if len(bucket) <= WINDOW:
                 continue
@@ -251,10 +253,14 @@ def score(docs: DataFrame, fitted: tuple, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, fitted: tuple, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` scored ``least`` or more, all columns as they are."""
+    """The rows of ``docs`` scored ``least`` or more, all columns as they are,
+    handed back in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(scores(batch.column(text_col), *fitted) >= least))
+            keep, lo = pa.array(scores(batch.column(text_col), *fitted) >= least), 0
+            for part in c.slices(batch, text_col):
+                yield part.filter(keep.slice(lo, part.num_rows))
+                lo += part.num_rows
 
     return docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from regstat.llm.common import keyed
+from regstat.llm.common import keyed, slices
 
 #: Fixed patterns of the base.
 ASSIGN = re.compile(
@@ -114,13 +114,13 @@ def scan(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, "text")):
             found = [
                 [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in find(t, vocab)]
-                for t in batch.column("text").to_pylist()
+                for t in part.column("text").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(_SPAN))], ["doc_id", "spans"]
+                [part.column("doc_id"), pa.array(found, pa.list_(_SPAN))], ["doc_id", "spans"]
             )
 
     return keyed(docs, id_col, text_col).mapInArrow(run, SCHEMA)
@@ -142,9 +142,9 @@ def redacted(docs: DataFrame, vocab_path: str, text_col: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            texts = [t if t is None else redact(t, find(t, vocab)) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        for part in (p for batch in batches for p in slices(batch, text_col)):
+            at = part.schema.get_field_index(text_col)
+            texts = [t if t is None else redact(t, find(t, vocab)) for t in part.column(at).to_pylist()]
+            yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
 
     return docs.mapInArrow(run, docs.schema)
