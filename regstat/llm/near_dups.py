@@ -216,9 +216,10 @@ def alike_nodes(large: DataFrame) -> DataFrame:
 
 def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(leaf rows, rows of nodes that stayed large), both ``node, rep,
-    sketch``. ``reps`` has ``rep, mins, sketch``. On the first level most nodes
-    hold one document; the sketch is fetched only for the others. Only nodes
-    whose members differ branch again."""
+    sketch``, the latter with ``among``, the number of members of their node.
+    ``reps`` has ``rep, mins, sketch``. On the first level most nodes hold one
+    document; the sketch is fetched only for the others. Only nodes whose
+    members differ branch again."""
     rows = reps.select("rep", F.posexplode("mins").alias("at", "value")).select(
         F.xxhash64("at", "value").alias("node"), F.expr("cast(at div 2 as int)").alias("tree"), "rep"
     )
@@ -232,12 +233,12 @@ def trees(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         sized = c.written(sized, f"tree{level}")
         small = sized.where(F.col("n") <= LEAF).select("node", "rep", "sketch")
         leaves = small if leaves is None else leaves.unionByName(small)
-        large = sized.where(F.col("n") > LEAF)
+        large = sized.where(F.col("n") > LEAF).withColumnRenamed("n", "among")
         stay = large
         if level < LEVELS:
             alike = c.written(alike_nodes(large), f"alike{level}")
             stay, large = large.join(alike, "node", "left_semi"), large.join(alike, "node", "left_anti")
-        stay = c.written(stay.select("node", "rep", "sketch"), "dense")  # read several times
+        stay = c.written(stay.select("node", "rep", "sketch", "among"), "dense")  # read several times
         dense = stay if dense is None else dense.unionByName(stay)
         if level == LEVELS:
             return leaves, dense
@@ -289,10 +290,12 @@ def in_components(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def mixed(rows: DataFrame) -> DataFrame:
     """The rows of nodes whose members lie in more than one component, with
-    ``main``, the largest of these, and ``size``, the number of members."""
+    ``main``, the largest of these, ``size``, the number of members, and
+    ``among``, that of those outside ``main`` and one of it."""
     sizes = rows.groupBy("node", "comp").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"), F.sum("m").alias("size"))
-    return rows.join(main.where("parts > 1").drop("parts"), "node")
+    main = sizes.groupBy("node").agg(F.max(F.struct("m", "comp")).alias("top"), F.count("*").alias("parts"), F.sum("m").alias("size"))
+    main = main.where("parts > 1").select("node", "top.comp", "size", F.expr("size - top.m + 1").alias("among"))
+    return rows.drop("among").join(main.withColumnRenamed("comp", "main"), "node")
 
 
 def agreement(x: str, y: str) -> str:
@@ -302,11 +305,10 @@ def agreement(x: str, y: str) -> str:
 
 def usual_values(among: DataFrame) -> DataFrame:
     """``node, usual``: the value that most of about ``VOTERS`` members of each node
-    (those whose hash falls into one of their number over ``VOTERS`` shares)
-    have in each place of the sketch. Only a pivot is chosen by it: which members
-    vote decides how many pairs a round settles, not which are found in the end."""
-    sizes = among.groupBy("node").agg(F.count("*").alias("among"))
-    votes = among.join(sizes, "node").where(f"pmod(xxhash64(rep, node), cast(ceil(among / {VOTERS}) as bigint)) = 0")
+    (those whose hash falls into one of their number ``among`` over ``VOTERS``
+    shares) have in each place of the sketch. Only a pivot is chosen by it: which
+    members vote decides how many pairs a round settles, not which are found in the end."""
+    votes = among.where(f"pmod(xxhash64(rep, node), cast(ceil(among / {VOTERS}) as bigint)) = 0")
     votes = votes.groupBy("node").agg(F.collect_list("sketch").alias("votes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +324,10 @@ def usual_values(among: DataFrame) -> DataFrame:
 
 def medoid_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of each member of a large node with the medoid of its node, where
-    they agree often enough and lie in different components. The medoid is
-    taken among members outside the main component, if there are any."""
-    among = rows.where("comp <> main or comp = rep").select("node", "rep", "comp", "sketch")
+    they agree often enough and lie in different components; a pair may come
+    from several nodes. The medoid is taken among members outside the main
+    component, if there are any."""
+    among = rows.where("comp <> main or comp = rep").select("node", "rep", "comp", "sketch", "among")
     near = F.expr(agreement("sketch", "usual"))
     medoid = (
         among.join(usual_values(among), "node")
@@ -334,7 +337,7 @@ def medoid_pairs(rows: DataFrame) -> DataFrame:
     pairs = rows.join(medoid, "node").where(
         F.expr(f"comp <> p.comp and {agreement('sketch', 'p.sketch')} >= {AGREE}")
     )
-    return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
+    return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
 
 
 class Members:
@@ -366,7 +369,8 @@ def rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     its main component against the members of all other components, on full
     sets. A node is cut into slices of about ``SLICE`` members, one task's work
     each; the rows outside go to every slice of their node. Only links come
-    out, one for each row outside, slice and component."""
+    out, one for each row outside, slice and component of each node; they need
+    no other confirmation."""
     slices = f"cast(ceil(size / {SLICE}) as int)"
     full = sets.select(F.col("doc_id").alias("rep"), "items")
     known = rows.select("node", "rep", "comp", "main", "size").join(full, "rep")
@@ -396,7 +400,7 @@ def rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     dealt = every.select("node", "slice", "side", "rep", "comp", "items").repartition("node", "slice")
-    return dealt.sortWithinPartitions("node", "slice", "side").mapInArrow(run, "a long, b long").distinct()
+    return dealt.sortWithinPartitions("node", "slice", "side").mapInArrow(run, "a long, b long")
 
 
 def linked(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -404,23 +408,25 @@ def linked(leaves: DataFrame, dense: DataFrame, pairs: DataFrame, sets: DataFram
     and the medoids of large nodes, then, in nodes whose members still lie in
     different components, medoids again, and last all that is open. The links
     of a round only extend the components found before."""
-    rounds: list[list] = [[(lambda rows: rest_pairs(rows, sets), dense), (leaf_pairs, leaves)]]
-    if dense.isEmpty():
-        rounds = [[(leaf_pairs, leaves)]]
-    else:
-        alone = dense.select("node", "rep", "sketch", F.col("rep").alias("comp"), F.col("rep").alias("main"))
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        return c.written(mixed(in_components(rows, found)), "open")
+
+    def more(links: DataFrame) -> DataFrame:
+        links = c.written(links, "links")
+        return found if links.isEmpty() else extended(found, links)
+
+    large = not dense.isEmpty()
+    if large:
+        alone = dense.select("*", F.col("rep").alias("comp"), F.col("rep").alias("main"))
         pairs = pairs.select("a", "b").unionByName(medoid_pairs(alone)).distinct()
-        rounds = [[(medoid_pairs, dense)]] * (MEDOID_ROUNDS - 1) + rounds
     found = components(c.written(confirmed(pairs, sets), "links"))
-    for steps in rounds:
-        open_pairs = None
-        for step, rows in steps:
-            more = step(c.written(mixed(in_components(rows, found)), "open"))
-            open_pairs = more if open_pairs is None else open_pairs.unionByName(more).distinct()
-        links = c.written(confirmed(open_pairs, sets), "links")
-        if not links.isEmpty():
-            found = extended(found, links)
-    return found
+    for _ in range(MEDOID_ROUNDS - 1 if large else 0):
+        found = more(confirmed(medoid_pairs(still_open(dense)).distinct(), sets))
+    links = confirmed(leaf_pairs(still_open(leaves)), sets)
+    if large:
+        links = links.unionByName(rest_pairs(still_open(dense), sets))
+    return more(links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

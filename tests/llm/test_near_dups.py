@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_operators import linked, shingles
 
+from regstat.llm import components as comp
 from regstat.llm import near_dups
 
 RNG = random.Random(3)
@@ -58,3 +60,33 @@ def test_large_nodes(spark, unlike, monkeypatch):
     want = linked([shingles(t) for t in texts])
     got = {i: x for (i, _), x in components(spark, list(enumerate(texts))).items()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_few_links_are_joined_in_few_jobs(spark):
+    """A job of many partitions for each step of each round took most of the time of
+    a small table with large groups."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 900 + i) for i in range(1, 40)], "a long, b long")
+    spark.sparkContext.setJobGroup("components", "components")
+    found = {r.node: r.component for r in comp.components(edges).collect()}
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("components")
+    spark.sparkContext.setJobGroup("others", "others")
+    assert found == {i: 0 for i in range(301)} | {i: 900 for i in range(900, 940)}
+    assert len(jobs) <= 4
+
+
+@pytest.mark.parametrize("size", [5, 60])
+def test_links_over_many_slices(spark, size, monkeypatch):
+    monkeypatch.setattr(comp, "SLICE_EDGES", size)
+    edges = [(i, i + 1) for i in range(70)] + [(200 + i, 200) for i in range(70)] + [(7, 7), (8, 7), (300, 200)]
+    RNG.shuffle(edges)
+    want = {i: 0 for i in range(71)} | {200 + i: 200 for i in range(70)} | {300: 200}
+    rows = comp.components(spark.createDataFrame(edges, "a long, b long").repartition(9)).collect()
+    assert len(rows) == len(want) and {r.node: r.component for r in rows} == want
+    # the slices of one task
+    table = pa.RecordBatch.from_pydict({"a": [a for a, _ in edges], "b": [b for _, b in edges]})
+    stars = [list(zip(*x.to_pydict().values(), strict=True)) for x in comp._sliced(iter([table.slice(0, 33), table.slice(33)]))]
+    assert len(stars) == -(-len(edges) // size)
+    for lo, got in zip(range(0, len(edges), size), stars, strict=True):
+        assert {x for e in edges[lo : lo + size] for x in e} == {a for a, _ in got}
+    whole = spark.createDataFrame([x for got in stars for x in got], "a long, b long")
+    assert {r.node: r.component for r in comp.components(whole).collect()} == want
