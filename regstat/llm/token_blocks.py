@@ -52,6 +52,11 @@ RUN_CHARS = 64
 _SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACES}\p{{L}}\p{{N}}]+")
 
+#: A letter and a sign behind it: never of one piece, and no rule joins them.
+_LETTER_SIGN = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])"
+#: No text without these has signs that compose with others.
+_COMPOSING = r"[^\x{0}-\x{2ff}]"
+
 
 def normal(run: str) -> str:
     """A run as the tokenizer normalises it; no rule looks past white space."""
@@ -64,15 +69,16 @@ class Runs:
     """The library's ids of texts, looked up by runs without white space.
 
     The tokenizer never joins two such runs, so a run has the same ids in
-    every text. Arrow cuts the texts and numbers their distinct runs, Python
-    looks at those only, and numpy puts the ids in the texts' order. The
-    pieces of unknown runs go to the library in one call; texts with special
-    strings go there whole."""
+    every text. Arrow cuts the texts, also between a letter and a sign behind
+    it, and numbers their distinct runs, Python looks at those only, and numpy
+    puts the ids in the texts' order. The unknown pieces of unknown runs go to
+    the library; texts with special strings go there whole."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model.tokenize
         vocab = self.library.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
@@ -84,6 +90,12 @@ class Runs:
         return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        # of lower-case ASCII signs only the library's model is left to ask
+        plain = [p for p in pieces if p.isascii() and p.isprintable()]
+        found = {p: array("i", [t.id for t in self.model(p)]).tobytes() for p in plain}
+        return found | self.together([p for p in pieces if p not in found])
+
+    def together(self, pieces: list[str]) -> dict[str, bytes]:
         if not pieces:
             return {}
         joined = self.library.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0]
@@ -100,7 +112,11 @@ class Runs:
         # signs that lower case has put in another order: the library would sort them
         odd = {p for p in plain if not p.isascii() and not unicodedata.is_normalized("NFC", p)}
         parts = {p: _PIECE.findall(p) for p in plain if not p.isalpha()}
-        known = self.pieces(list(set(plain).difference(parts).union(*parts.values())))
+        pieces = list(set(plain).difference(parts).union(*parts.values()))
+        known = dict(zip(pieces, map(self.young.get, pieces), strict=True))
+        new = self.pieces([p for p in pieces if known[p] is None])
+        known |= new
+        self.remember(new)
         found = [b"".join(map(known.__getitem__, parts[p])) if p in parts else known[p] for p in plain]
         for k in [k for k, p in enumerate(plain) if p in odd] if odd else []:
             found[k] = self.whole(words[k])
@@ -120,19 +136,28 @@ class Runs:
         ids = self.learn(new)
         for k, x in zip(at, ids, strict=True):
             found[k] = x
-        self.young.update(zip(new, ids, strict=True))
-        for w in [w for w in new if len(w) > RUN_CHARS]:
-            del self.young[w]
+        self.remember(dict(zip(new, ids, strict=True)))
         return found
 
+    def remember(self, ids: dict[str, bytes]) -> None:
+        self.young.update(ids)
+        for w in [w for w in ids if len(w) > RUN_CHARS]:
+            del self.young[w]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and each text's count."""
         odd = np.zeros(len(texts), bool)
         for s in self.special:
             odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        cut = pc.ascii_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        # lower case goes by single characters, but only where none of them composes
+        composing = pc.match_substring_regex(plain, _COMPOSING)
+        lower = pc.if_else(composing, plain, pc.ascii_lower(plain))
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _LETTER_SIGN, r"\1 \2"))
         runs = cut.flatten()
-        runs = pc.if_else(pc.string_is_ascii(runs), pc.ascii_lower(runs), runs).dictionary_encode()
+        if pc.any(composing).as_py():
+            runs = pc.if_else(pc.string_is_ascii(runs), pc.ascii_lower(runs), runs)
+        runs = runs.dictionary_encode()
         found = self.lookup(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(found), np.int32)
         size = np.fromiter(map(len, found), np.int64, len(found)) >> 2

@@ -44,3 +44,26 @@ def test_runs_give_the_librarys_ids():
         assert ids.tolist() == [i for w in want for i in w]
         assert max(map(len, runs.young)) <= token_blocks.RUN_CHARS
         runs.old, runs.young = runs.young, {}
+
+
+def test_signs_behind_letters_and_known_pieces():
+    rng = random.Random(5)
+    signs = [*"abzAZ'sS.,;:!?ªºÀÖ×ØÞßàö÷øÿĀſΣσİ̸́;\x1c\x7f 1(", "́,", "'S,", "É.", "...", "日", " ̧"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["É, É, H̱. a,̸ a;́", "I'LL, DON'T! x.'s"]
+    runs = token_blocks.Runs(queries.WORD_BPE)
+    for lo in range(0, len(texts), 500):
+        ids, n = runs.encode(pa.array(texts[lo : lo + 500]))
+        want = [runs.library.encode(t, add_special_tokens=False).ids for t in texts[lo : lo + 500]]
+        assert n.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_known_pieces_are_not_asked_for_again(monkeypatch):
+    runs = token_blocks.Runs(queries.WORD_BPE)
+    runs.encode(pa.array(["Every wörd here", ". , ( )"]))
+    asked, pieces = [], runs.pieces
+    monkeypatch.setattr(runs, "pieces", lambda p: asked.extend(p) or pieces(p))
+    ids, _ = runs.encode(pa.array(["Every, wörd. (here)"]))
+    assert ids.tolist() == runs.library.encode("Every, wörd. (here)", add_special_tokens=False).ids
+    assert asked == []
