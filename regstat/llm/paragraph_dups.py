@@ -181,7 +181,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     sketches = places.select(F.col("key").alias("rep"), "sketch").dropDuplicates(["rep"])
     shared = c.written(buckets.join(sizes, "node").join(sketches, "rep"), "buckets")
     leaves = shared.where(F.col("n") <= nd.LEAF).drop("n")
-    dense = shared.where(F.col("n") > nd.LEAF).drop("n")
+    dense = shared.where(F.col("n") > nd.LEAF).withColumnRenamed("n", "among")
 
     pairs = c.written(nd.leaf_pairs(leaves.withColumn("comp", F.col("rep")), every=False), "pairs")
     live = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(dense.select(F.col("rep").alias("key")))

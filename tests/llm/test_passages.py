@@ -8,7 +8,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from regstat.llm import paragraph_dups
+from regstat.llm import near_dups, paragraph_dups
 from regstat.llm.common import U64, mix
 
 RNG = random.Random(9)
@@ -71,3 +71,12 @@ def test_repeated_rows_lose_all_but_the_first(spark):
     got = found(spark, [(5, line), (5, line), (None, other), (3, other + "\n" + line), (9, None), (8, "")])
     assert sorted((r.doc_id or 0, r.n_paragraphs, len(r.removed)) for r in got) == [(0, 1, 0), (3, 2, 1), (5, 1, 1), (5, 1, 1), (8, 0, 0), (9, 0, 0)]
     assert found(spark, []) == []
+
+
+def test_large_buckets_of_near_copies(spark):
+    """More near copies of a line, each with a set of its own, than a leaf holds."""
+    base = prose(60)
+    rows = [(i, " ".join([*base[: 5 + i % 50], f"x{i}", *base[6 + i % 50 :]])) for i in range(3 * near_dups.LEAF)]
+    rows += [(1000 + i, " ".join(prose(60))) for i in range(20)]
+    got = {r.doc_id: [x.line for x in r.removed] for r in found(spark, rows)}
+    assert got == {i: [0] if 0 < i < 1000 else [] for i, _ in rows}
