@@ -444,3 +444,13 @@ def test_license_fit_reads_one_written_table(spark, monkeypatch):
     got = [(r.label, r.window) for r in seen[0].collect()]
     want = licenses.training(spark, known, found).where("not held").select("label", "window").collect()
     assert got == sorted(got) == sorted(map(tuple, want))
+
+
+def test_license_fit_of_few_documents_has_names_amid_words(spark):
+    def named(rows):
+        known = licenses.keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+        return licenses.training(spark, known, licenses.candidates(known)).where("label > 0 and not held").count()
+
+    assert named([(1, "licensed under the MIT license"), (2, None)]) == len(licenses.templates()) + licenses.SAMPLE
+    many = [(i, " ".join(f"x{i}y{k}" for k in range(60))) for i in range(200)]  # enough stretches of their own
+    assert len(licenses.templates()) < named(many) < len(licenses.templates()) + licenses.SAMPLE
